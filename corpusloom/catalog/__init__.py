@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ("ngrams", "predictions")
+_MODULES = ("ngrams", "predictions", "selections", "texts", "codes", "encodings", "files")
 
 
 def all_queries() -> dict[str, Query]:
