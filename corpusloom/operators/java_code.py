@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.functions.text import WHITESPACE, is_blank, line_count, strip
+from corpusloom.functions.text import WHITESPACE, is_blank, line_count
 
 # Licenses that allow use.
 ALLOWED_LICENSES = ["mit", "apache-2.0", "bsd-3-clause", "bsd-2-clause", "gpl", "lgpl", "mpl-2.0"]
@@ -50,7 +50,7 @@ def license_filter(rows: DataFrame, repos: DataFrame, on: str = "repo_name") ->
 
 
 def strip_imports(code: Column) -> Column:
-    keep = lambda line: ~strip(line).startswith("import ")
+    keep = lambda line: ~line.rlike(rf"\A{WHITESPACE}*import ")
     return F.array_join(F.filter(F.split(code, "\n"), keep), "\n")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.functions.binding import bind
 from corpusloom.functions.seeded import draw32
 from corpusloom.functions.text import first_non_empty, is_blank, replace_first, split_whitespace
 from corpusloom.operators.python_code import if_conditions
@@ -25,8 +26,9 @@ def mask_random_tokens(
     not text order. Each token is compared with the last accepted draw, so the work is linear
     but for one sort.
     """
-    tokens = df.select(id_col, split_whitespace(F.coalesce(text, F.lit(""))).alias("_tokens"))
-    drawn = tokens.filter(F.size("_tokens") >= 3).withColumn(
+    split = split_whitespace(F.coalesce(text, F.lit("")))
+    tokens = bind(df, "_tokens", split, lambda t: F.size(t) >= 3).select(id_col, "_tokens")
+    drawn = tokens.withColumn(
         "_draws",
         F.transform("_tokens", lambda t, i: F.struct(draw32(seed, F.col(id_col), i).alias("d"), i.alias("i"))),
     )
@@ -72,7 +74,8 @@ def mask_if_condition(df: DataFrame, id_col: str, seed: int = 42) -> DataFrame:
     before the parser sees them.
     """
     kept = df.columns
-    coded = coalesce_text(df, ("source", "code"), "_code").filter(F.col("_code").contains("if"))
+    present = [F.col(c) for c in ("source", "code") if c in df.columns]
+    coded = bind(df, "_code", first_non_empty(*present), lambda c: c.contains("if"))
     parsed = coded.withColumn("_conditions", if_conditions(F.col("_code")))
     eligible = if_eligible(parsed, "_code", "_conditions")
     return mask_picked(eligible, "_code", "_conditions", id_col, seed).select(*kept, "input_text", "target_text")

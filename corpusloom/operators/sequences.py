@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.functions.binding import bind
 from corpusloom.functions.text import split_whitespace, strip
 
 
@@ -18,14 +19,17 @@ def load_sequences(rows: DataFrame, id_col: str, code_tokens: str = "code_tokens
     """``(seq_id, tokens)`` without empty sequences."""
     if code_tokens not in rows.columns:
         raise ValueError(f"the input must contain a {code_tokens!r} column")
-    seqs = rows.select(F.col(id_col).alias("seq_id"), token_list(F.col(code_tokens)).alias("tokens"))
-    return seqs.filter(F.size("tokens") > 0)
+    return _non_empty(rows, id_col, token_list(F.col(code_tokens)))
 
 
 def text_sequences(rows: DataFrame, id_col: str, text: str) -> DataFrame:
     """``(seq_id, tokens)`` of whitespace-separated text, without empty sequences."""
-    seqs = rows.select(F.col(id_col).alias("seq_id"), split_whitespace(F.col(text)).alias("tokens"))
-    return seqs.filter(F.size("tokens") > 0)
+    return _non_empty(rows, id_col, split_whitespace(F.col(text)))
+
+
+def _non_empty(rows: DataFrame, id_col: str, tokens: Column) -> DataFrame:
+    bound = bind(rows, "_tokens", tokens, lambda t: F.size(t) > 0)
+    return bound.select(F.col(id_col).alias("seq_id"), F.col("_tokens").alias("tokens"))
 
 
 def min_length(seqs: DataFrame, n: int = 2) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from corpusloom.functions.binding import bind
 from corpusloom.functions.text import is_blank, line_count
 from corpusloom.operators.java_code import (
     MAX_FILE_LINES, MIN_FILE_LINES, clean_comments, find_java_methods, has_position, java_file_filter,
@@ -13,6 +14,7 @@ from corpusloom.operators.selection import global_cap, per_repo_quota
 from corpusloom.scratch import settle
 from corpusloom.sources.trees import commit_files
 
+_MAX_BROADCAST = 100_000
 METHOD_COLUMNS = (
     "dataset_split", "repo_name", "repo_url", "commit_sha", "file_path", "method_name", "start_line",
     "end_line", "signature", "original_code", "code_tokens",
@@ -22,9 +24,8 @@ METHOD_COLUMNS = (
 def clean_files(files: DataFrame) -> DataFrame:
     """Usable files with the column ``code``, cleaned. Cheap tests come first."""
     code = clean_comments(strip_imports(F.col("source_code")))
-    cleaned = java_file_filter(files).withColumn("code", code)
-    in_range = line_count_in_range(F.col("code"), MIN_FILE_LINES, MAX_FILE_LINES)
-    return cleaned.filter(~is_blank(F.col("code"))).filter(in_range).filter(lexable(F.col("code")))
+    usable = lambda c: ~is_blank(c) & line_count_in_range(c, MIN_FILE_LINES, MAX_FILE_LINES) & lexable(c)
+    return bind(java_file_filter(files), "code", code, usable)
 
 
 def method_rows(files: DataFrame, split: str) -> DataFrame:
@@ -44,7 +45,7 @@ def mine_java_methods(
     """At most ``limit // 4`` methods per repository and ``limit`` in all, in commit order.
 
     ``files`` also has ``repo_seq``, the rank of its repository. Quotas are settled on the narrow
-    order keys; code is tokenised only for rows that stay.
+    order keys; only files with a method that stays, at most ``limit``, are then gone through again.
     """
     files = commit_files(files)
     if licenses is not None:
@@ -53,5 +54,8 @@ def mine_java_methods(
     rows = method_rows(files, split)
     within_quota = settle(per_repo_quota(rows.select("repo_name", *order), limit // 4))
     kept = global_cap(within_quota, limit, order)
-    chosen = rows.join(kept.select(*order), order, "left_semi")
+    keys = kept.select(*order)
+    if limit <= _MAX_BROADCAST:
+        keys = F.broadcast(keys)
+    chosen = method_rows(files.join(keys, order[:-1], "left_semi"), split).join(keys, order, "left_semi")
     return chosen.withColumn("code_tokens", F.array_join(tokenize_java(F.col("code")), ", ")).select(*METHOD_COLUMNS)
