@@ -108,14 +108,17 @@ def java_methods(source: Column) -> Column:
     def methods(batch: pd.Series) -> pd.Series:
         import re
 
-        # Words that can stand before a call but are no type.
-        not_types = {"return", "new", "else", "throw", "case", "assert", "yield", "package", "import", "do", "goto"}
+        # Words that can stand before a call or a constructor but are no type.
+        not_types = [
+            "return", "new", "else", "throw", "case", "assert", "yield", "package", "import", "do", "goto", "public",
+            "protected", "private", "static", "final", "abstract", "native", "synchronized", "default", "strictfp",
+        ]
         # Words before a parenthesis that are no method name.
         not_names = {"if", "for", "while", "switch", "catch", "synchronized", "try", "super", "this"}
         hidden = re.compile(r'"""[\s\S]*?"""|"(?:[^"\\\n]|\\.)*"|\'(?:[^\'\\\n]|\\.)*\'|//[^\n]*|/\*[\s\S]*?\*/')
         name = r"[^\W\d][\w$]*|\$[\w$]*"
         header = re.compile(
-            rf"(?P<type>(?:{name})(?:\.(?:{name}))*(?:\s*<[^;(){{}}=]*>)?(?:\s*\[\s*\])*)\s+"
+            rf"(?<![\w$.])(?!(?:{'|'.join(not_types)})\b)(?P<type>(?:{name})(?:\.(?:{name}))*(?:\s*<[^;(){{}}=]*>)?(?:\s*\[\s*\])*)\s+"
             rf"(?P<name>{name})\s*\((?P<params>(?:[^(){{}};]|\([^()]*\))*)\)(?:\s*\[\s*\])*"
             rf"(?:\s*throws\s+[\w.$,\s]+)?\s*(?=[{{;])"
         )
@@ -146,7 +149,7 @@ def java_methods(source: Column) -> Column:
             found = []
             for m in header.finditer(text):
                 kind = re.split(r"[.<\[\s]", m["type"])[0]
-                if kind in not_types or m["name"] in not_names:
+                if m["name"] in not_names:
                     continue
                 found.append({
                     "seq": len(found), "name": m["name"], "line": text.count("\n", 0, m.start()) + 1,
