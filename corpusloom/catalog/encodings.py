@@ -31,19 +31,26 @@ def _pairs(spark, sf):
     return symbol_pair_counts(_byte_words(spark, sf)).select("pair", "c", "longest")
 
 
-def _tokenizer(spark, sf):
-    return train_bpe(documents(spark, sf, "doc_id", "text"), VOCAB_SIZE)
+def _train(spark, sf):
+    return train_bpe(documents(spark, sf, "doc_id", "text"), VOCAB_SIZE).merges
 
 
-def _train(spark, sf):
-    return _tokenizer(spark, sf).merges
+_trained: dict[tuple[str, str], str] = {}
+
+
+def _tokenizer(spark, sf):
+    """The documents' tokenizer, learned once per session and read back from its tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _trained:
+        path = scratch_path(spark, "tokenizer")
+        write_tokenizer_tables(train_bpe(documents(spark, sf, "doc_id", "text"), VOCAB_SIZE), path)
+        _trained[key] = path
+    return read_tokenizer_tables(spark, _trained[key])
 
 
 def _tables(spark, sf):
     """The vocabulary after a round trip through its tables."""
-    path = scratch_path(spark, "tokenizer")
-    write_tokenizer_tables(_tokenizer(spark, sf), path)
-    return read_tokenizer_tables(spark, path).vocab
+    return _tokenizer(spark, sf).vocab
 
 
 def _encode(spark, sf):
@@ -55,8 +62,7 @@ def _encode(spark, sf):
 
 def _pretraining(spark, sf):
     docs = documents(spark, sf, "doc_id", "text").withColumnRenamed("text", "source")
-    tokenizer = train_bpe(docs, VOCAB_SIZE, text="source")
-    examples = pretraining_examples(docs, "doc_id", tokenizer, 150_000)
+    examples = pretraining_examples(docs, "doc_id", _tokenizer(spark, sf), 150_000)
     return examples.select(
         "doc_id", "split", (F.size("input_ids") <= 512).alias("input_fits"), (F.size("labels") <= 256).alias("labels_fit"),
         (F.size("attention_mask") == F.size("input_ids")).alias("mask_fits"),
@@ -65,9 +71,7 @@ def _pretraining(spark, sf):
 
 
 def _finetuning(spark, sf):
-    functions = python_functions(spark, sf)
-    tokenizer = train_bpe(functions, VOCAB_SIZE, text="code")
-    examples = finetuning_examples(functions, "doc_id", tokenizer)
+    examples = finetuning_examples(python_functions(spark, sf), "doc_id", _tokenizer(spark, sf))
     return examples.select(
         "doc_id", "split", "target_text", F.size("input_ids").alias("n_input"), F.size("attention_mask").alias("n_mask"),
         F.size("labels").alias("n_labels"),
@@ -129,6 +133,31 @@ _BYTES = """bytes AS (SELECT word, c, list_transform(range(0, length(hex(encode(
     lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::INTEGER) AS b FROM counts),
   coded AS (SELECT c, array_to_string(list_transform(b, lambda x: chr(CASE WHEN x <= 32 THEN 256 + x
     WHEN x BETWEEN 127 AND 160 THEN 256 + x - 94 WHEN x = 173 THEN 323 ELSE x END)), '') AS symbols FROM bytes)"""
+# One merge per round of the recursion, on words of private-use characters; each merge is then spelled
+# out by undoing the later ones. This presumes that no two merges make the same token, as is so here.
+_MERGES = f"""alphabet AS MATERIALIZED (SELECT ch, 4 + row_number() OVER (ORDER BY ch) AS id
+    FROM (SELECT DISTINCT unnest(string_split(symbols, '')) AS ch FROM coded) WHERE ch <> ''),
+  letters AS MATERIALIZED (SELECT string_agg(ch, '' ORDER BY id) AS old,
+    string_agg(chr((983040 + id)::INTEGER), '' ORDER BY id) AS new, count(*) AS n FROM alphabet),
+  start AS MATERIALIZED (SELECT translate(symbols, old, new) AS w, c FROM coded, letters WHERE length(symbols) > 1),
+  rounds AS (
+    SELECT 0 AS r, w, c, NULL::VARCHAR AS pair, NULL::VARCHAR AS made FROM start
+    UNION ALL
+    SELECT r + 1, replace(s.w, b.pair, chr((983045 + l.n + s.r)::INTEGER)), s.c, b.pair, chr((983045 + l.n + s.r)::INTEGER)
+    FROM rounds s, letters l, (
+      SELECT pair FROM (SELECT substr(w, i, 2) AS pair, sum(c) AS f
+        FROM (SELECT w, c, unnest(range(1, length(w))) AS i FROM rounds) GROUP BY 1)
+      WHERE f >= 2 ORDER BY f DESC, pair LIMIT 1) b
+    WHERE s.r < {VOCAB_SIZE} - 5 - l.n),
+  merges AS (SELECT r - 1 AS rank, any_value(pair) AS pair, any_value(made) AS made FROM rounds WHERE r > 0 GROUP BY r),
+  undo AS (SELECT list(made || pair ORDER BY rank DESC) AS steps FROM merges),
+  sides AS (SELECT rank, pair[1] AS l, pair[2] AS r FROM merges)"""
+
+
+def _spelled(side: str) -> str:
+    return f"translate(list_reduce(list_concat([{side}], steps), lambda a, x: replace(a, x[1], x[2:])), new, old)"
+
+
 _TOKS = r"list_transform(list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> ''), lambda x: length(x))"
 _CONDITIONS = """['x > ' || n_chars, 'lang == ' || chr(34) || lang || chr(34), 'y in (' || chr(34) || source || chr(34) || ',)']"""
 _N_WORDS = r"len(list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> ''))"
@@ -142,6 +171,12 @@ ORACLES = {
       triples AS (SELECT substr(symbols, i, 3) AS t, sum(c)::BIGINT AS c FROM grams WHERE i + 2 <= length(symbols) GROUP BY 1)
       SELECT pair, p.c, coalesce(greatest((SELECT max(c) FROM triples WHERE substr(t, 1, 2) = pair),
         (SELECT max(c) FROM triples WHERE substr(t, 2, 2) = pair)), 0) AS longest FROM pairs p""",
+    "train_bpe": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}
+      SELECT rank::INTEGER AS rank, {_spelled('l')} AS "left", {_spelled('r')} AS "right" FROM sides, undo, letters""",
+    "tokenizer_tables": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}
+      SELECT ch AS token, id::INTEGER AS id FROM alphabet
+      UNION ALL SELECT {_spelled('l || r')}, (5 + n + rank)::INTEGER FROM sides, undo, letters
+      UNION ALL SELECT * FROM (VALUES ('<pad>', 0), ('<s>', 1), ('</s>', 2), ('<unk>', 3), ('<mask>', 4)) s(token, id)""",
     "encode_bpe": r"SELECT doc_id, CASE WHEN regexp_matches(text, '^\s') THEN text ELSE ' ' || text END AS decoded FROM documents",
     "pretraining_examples": f"""SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} < {0.1 * KEY_SPAN} THEN 'test' ELSE 'train' END AS split,
       true AS input_fits, true AS labels_fit, true AS mask_fits, true AS has_mask FROM documents WHERE {_N_WORDS} >= 3""",

@@ -19,7 +19,7 @@ from corpusloom.sources.quoted_csv import read_quoted_csv, write_quoted_csv
 from corpusloom.sources.results import write_best_config, write_eval_csv, write_metrics
 from corpusloom.sources.tables import read_table
 from corpusloom.sources.trees import commit_files, read_repo_list, scan_source_tree, source_texts
-from corpusloom.streaming.counts import stream_pair_counts
+from corpusloom.streaming.counts import read_streamed_counts, stream_pair_counts
 
 
 def _awkward(spark, sf):
@@ -101,11 +101,11 @@ def _eval_csv(spark, sf):
 
 def _stream(spark, sf):
     """Counts of turns arriving as a stream of files, equal to the batch counts."""
-    folder, name = scratch_path(spark, "arrivals"), "pairs_" + scratch_path(spark, "q")[-32:]
+    folder, counts = scratch_path(spark, "arrivals"), scratch_path(spark, "counts")
     turn_sequences(spark, sf).write.parquet(folder)
     arriving = spark.readStream.schema("seq_id bigint, tokens array<string>").option("maxFilesPerTrigger", 4).parquet(folder)
-    stream_pair_counts(arriving, 2, name, scratch_path(spark, "stream")).awaitTermination()
-    return spark.table(name).select(F.array_join("ctx", " ").alias("ctx"), F.col("next").alias("nxt"), "c")
+    stream_pair_counts(arriving, 2, counts, scratch_path(spark, "stream")).awaitTermination()
+    return read_streamed_counts(spark, counts).select(F.array_join("ctx", " ").alias("ctx"), F.col("next").alias("nxt"), "c")
 
 
 QUERIES = {

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.text import WHITESPACE, is_blank, line_count
+from corpusloom.operators.skew import keep_members
 
 # Licenses that allow use.
 ALLOWED_LICENSES = ["mit", "apache-2.0", "bsd-3-clause", "bsd-2-clause", "gpl", "lgpl", "mpl-2.0"]
@@ -45,8 +46,8 @@ def java_file_filter(files: DataFrame) -> DataFrame:
 
 def license_filter(rows: DataFrame, repos: DataFrame, on: str = "repo_name") -> DataFrame:
     """Rows of repositories with an allowed license; an unknown license is not allowed."""
-    allowed = repos.filter(F.col("license_key").isin(ALLOWED_LICENSES))
-    return rows.join(allowed, on, "left_semi")
+    allowed = repos.filter(F.col("license_key").isin(ALLOWED_LICENSES)).select(on).distinct()
+    return keep_members(rows, allowed, on)
 
 
 def strip_imports(code: Column) -> Column:

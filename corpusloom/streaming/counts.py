@@ -1,22 +1,34 @@
 """Training counts over a stream of sequences.
 
-Training only adds up counts, so the batch operator runs unchanged on a streaming DataFrame.
+Training only adds up counts. Each micro-batch is counted by the batch operator and written as a
+part of its own, named by the batch, so a retried batch replaces its part instead of counting
+twice. There is no streaming state that would grow with the vocabulary, and nothing passes
+through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.ngram_counts import pair_counts
 
 
-def stream_pair_counts(seqs: DataFrame, n: int, name: str, checkpoint: str) -> StreamingQuery:
-    """Keep the pair counts of everything seen so far in the in-memory table ``name``."""
+def stream_pair_counts(seqs: DataFrame, n: int, path: str, checkpoint: str) -> StreamingQuery:
+    """Count everything that has arrived and stop; start again to go on from there."""
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        pair_counts(batch, n).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
     return (
-        pair_counts(seqs, n)
-        .writeStream.outputMode("complete").format("memory").queryName(name)
+        seqs.writeStream.foreachBatch(count)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def read_streamed_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Counts over all micro-batches so far."""
+    parts = spark.read.parquet(path)
+    return parts.groupBy("n", "ctx", "next").agg(F.sum("c").alias("c"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import selection
-from corpusloom.operators.skew import lookup, lookup_requested
+from corpusloom.operators.skew import keep_members, lookup, lookup_requested
 
 
 @pytest.fixture(scope="module")
@@ -76,3 +76,5 @@ def test_lookup_with_hot_keys(spark, monkeypatch, hot):
         monkeypatch.setattr(skew, "_MAX_BROADCAST", bound)
         got = lookup_requested(rows, values, ["k"], ["v"], 300, F.col("id")).collect()
         assert {r.id: r.v for r in got} == want and len(got) == 300
+        kept = keep_members(rows, values.select("k"), "k").collect()
+        assert {r.id for r in kept} == {i for i, v in want.items() if v is not None}
