@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.scratch import settle
+from corpusloom.sources.tables import spread_small
 
 # Fixed values.
 SPECIAL_TOKENS = ["<pad>", "<s>", "</s>", "<unk>", "<mask>"]
@@ -67,14 +68,10 @@ def symbol_pair_counts(words: DataFrame, symbols: str = "symbols", weight: str =
     """``(pair, c, longest)``: weighted count of each adjacent pair of one-character symbols, and
     the largest count of a triple that contains it."""
     chars = F.length(symbols)
-    grams = F.transform(
-        F.sequence(F.lit(1), chars - 1), lambda i: F.substring(F.col(symbols), i, F.lit(3))
-    )
+    starts = words.filter(chars > 1).select(symbols, weight, F.explode(F.sequence(F.lit(1), chars - 1)).alias("i"))
     # Every position gives the pair that starts there with, except at the end, one symbol more.
-    counted = (
-        words.filter(chars > 1).select(F.explode(grams).alias("gram"), weight)
-        .groupBy("gram").agg(F.sum(weight).alias("c"))
-    )
+    gram = F.substring(F.col(symbols), F.col("i"), F.lit(3)).alias("gram")
+    counted = starts.select(gram, weight).groupBy("gram").agg(F.sum(weight).alias("c"))
     triple = F.when(F.length("gram") == 3, F.col("c")).otherwise(F.lit(0))
     sides = F.array(
         F.struct(F.substring("gram", 1, 2).alias("pair"), F.col("c").alias("c"), triple.alias("t")),
@@ -143,7 +140,7 @@ def train_bpe(
     names = [*special_tokens, *alphabet]  # at most 256 symbols follow the special tokens
     ids = {name: i for i, name in enumerate(names)}
     coded = F.translate("symbols", "".join(alphabet), "".join(_symbol(ids[a]) for a in alphabet))
-    words = settle(words.select(coded.alias("symbols"), "c").filter(F.length("symbols") > 1))
+    words = settle(spread_small(words.select(coded.alias("symbols"), "c").filter(F.length("symbols") > 1), "symbols"))
 
     merges, pending = [], []
     while len(names) < vocab_size:
