@@ -145,8 +145,8 @@ def java_methods(source: Column) -> Column:
         def of(source):
             if source is None:
                 return []
-            # Literals and comments become blanks of the same shape, so positions stay true.
-            text = hidden.sub(lambda m: re.sub(r"[^\n]", " ", m.group()), source)
+            # Literals and comments shrink to a space and their line ends, so line numbers stay true.
+            text = hidden.sub(lambda m: " " + "\n" * m.group().count("\n"), source)
             found = []
             for m in header.finditer(text):
                 kind = re.split(r"[.<\[\s]", m["type"])[0]
