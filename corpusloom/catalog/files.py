@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.catalog.codes import java_files
-from corpusloom.catalog.common import DOC_SEQS, TURN_SEQS, document_sequences, documents, turn_sequences, windows_sql
+from corpusloom.catalog.codes import ORACLES as CODE_ORACLES, java_files, python_files
+from corpusloom.catalog.common import TURN_SEQS, document_sequences, documents, turn_sequences, windows_sql
 from corpusloom.catalog.ngrams import K, ORDERS, ORACLES as NGRAM_ORACLES
 from corpusloom.catalog.texts import ORACLES as TEXT_ORACLES, _evaluate
 from corpusloom.operators.ngram_counts import pair_counts
 from corpusloom.operators.ngram_scores import best_order
-from corpusloom.operators.python_code import decode_utf8_ignore
+from corpusloom.operators.python_code import decode_utf8_ignore, extract_python_functions
 from corpusloom.operators.sequences import load_sequences
 from corpusloom.plans.ngram_experiment import validation_sweep
 from corpusloom.scratch import scratch_path
 from corpusloom.sources.escaped_csv import read_escaped_csv, write_escaped_csv
 from corpusloom.sources.quoted_csv import read_quoted_csv, write_quoted_csv
-from corpusloom.sources.results import write_best_config, write_eval_csv, write_metrics
-from corpusloom.sources.tables import read_table
+from corpusloom.sources.results import write_best_config, write_eval_csv, write_function_csv, write_metrics
 from corpusloom.sources.trees import commit_files, read_repo_list, scan_source_tree, source_texts
 from corpusloom.streaming.counts import read_streamed_counts, stream_pair_counts
 
@@ -99,6 +98,13 @@ def _eval_csv(spark, sf):
     return read_quoted_csv(spark, path, evaluated.schema)
 
 
+def _function_csv(spark, sf):
+    path = scratch_path(spark, "functions")
+    functions = extract_python_functions(python_files(spark, sf))
+    write_function_csv(functions, path)
+    return read_quoted_csv(spark, path, functions.schema)
+
+
 def _stream(spark, sf):
     """Counts of turns arriving as a stream of files, equal to the batch counts."""
     folder, counts = scratch_path(spark, "arrivals"), scratch_path(spark, "counts")
@@ -119,6 +125,7 @@ QUERIES = {
     "write_metrics": _metrics,
     "write_best_config": _best_config,
     "write_eval_csv": _eval_csv,
+    "write_function_csv": _function_csv,
     "stream_pair_counts": _stream,
 }
 
@@ -140,6 +147,7 @@ ORACLES = {
     "write_metrics": f"SELECT n AS \"N\", mean_nll FROM ({NGRAM_ORACLES['ngram_perplexity']})",
     "write_best_config": f"""SELECT n AS "N", 0.1::DOUBLE AS k FROM ({NGRAM_ORACLES['ngram_perplexity']}) ORDER BY mean_nll, n LIMIT 1""",
     "write_eval_csv": TEXT_ORACLES["evaluate_predictions"],
+    "write_function_csv": CODE_ORACLES["extract_python_functions"],
     "stream_pair_counts": f"""WITH {TURN_SEQS}, {windows_sql('win', 'turn_seqs', 2)}
       SELECT ctx, nxt, count(*) AS c FROM win GROUP BY ALL""",
 }

@@ -28,7 +28,8 @@ def _three_way(spark, sf):
 
 
 def _first_rows(spark, sf):
-    return first_n_rows(read_table(spark, sf, "lineitem").select(*ORDER, "l_partkey"), ORDER, 5000)
+    order = [*ORDER, "l_partkey", "l_suppkey"]
+    return first_n_rows(read_table(spark, sf, "lineitem").select(*order), order, 5000)
 
 
 def _quota(spark, sf):
@@ -77,7 +78,7 @@ ORACLES = {
       <= ceil(0.1 * (SELECT count(*) FROM orders)) THEN 'validation' ELSE 'train' END AS split FROM orders""",
     "split_three_way": f"""SELECT o_orderkey, CASE WHEN {_DRAW} >= {0.2 * KEY_SPAN} THEN 'train'
       WHEN {draw32_sql('42.held', 'o_orderkey')} < {0.5 * KEY_SPAN} THEN 'test' ELSE 'validation' END AS split FROM orders""",
-    "first_n_rows": "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT 5000",
+    "first_n_rows": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem ORDER BY ALL LIMIT 5000",
     "per_repo_quota": """SELECT doc_id, source, text FROM documents
       QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 30""",
     "per_repo_quota_large": """SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem

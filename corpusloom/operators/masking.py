@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.binding import bind
 from corpusloom.functions.seeded import draw32
-from corpusloom.functions.text import first_non_empty, is_blank, replace_first, split_whitespace
+from corpusloom.functions.text import first_non_empty, replace_first, split_whitespace
 from corpusloom.operators.python_code import if_conditions
 
 MASK = "<mask>"  # fixed value

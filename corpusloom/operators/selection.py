@@ -16,15 +16,23 @@ _GROUP_LIMIT = 1000  # largest rank Spark prunes map-side by default
 
 
 def prefix_predicate(df: DataFrame, order: Sequence[str], n: int) -> Column:
-    """Predicate that holds for exactly the first ``n`` rows by the integer columns ``order``.
+    """Predicate that holds for exactly the first ``n`` rows by integer columns that identify a row."""
+    before, _, missing = _prefix(df, order, n)
+    if missing:
+        raise ValueError(f"order columns {list(order)} do not identify a row")
+    return before
+
+
+def _prefix(df: DataFrame, order: Sequence[str], n: int) -> tuple[Column, Column, int]:
+    """Predicates for the rows surely among the first ``n`` and for those that tie for the last
+    places, and how many of the latter belong.
 
     Finds the n-th smallest key by narrowing a range with histograms of at most 16,384
     counts, one order column after the other. Rows are never sorted, shuffled or sent to a
-    single task, and each later pass pushes its narrower range into the scan. ``order`` must
-    identify a row.
+    single task, and each later pass pushes its narrower range into the scan.
     """
     if n <= 0:
-        return F.lit(False)
+        return F.lit(False), F.lit(False), 0
     scope, wanted = df.select(*order), n
     equal, clauses = F.lit(True), []
     for name in order:
@@ -49,14 +57,17 @@ def prefix_predicate(df: DataFrame, order: Sequence[str], n: int) -> Column:
         if wanted == 0:
             break
         equal, scope = equal & (c == low), scope.filter(c == low)
-    if wanted:
-        raise ValueError(f"order columns {list(order)} do not identify a row")
-    return reduce(lambda x, y: x | y, clauses)
+    return reduce(lambda x, y: x | y, clauses), equal, wanted
 
 
 def first_n_rows(df: DataFrame, order: Sequence[str], n: int = 150_000) -> DataFrame:
-    """The first ``n`` rows by ``order``; all rows when there are fewer."""
-    return df.filter(prefix_predicate(df, order, n))
+    """The first ``n`` rows by the integer columns ``order``; all rows when there are fewer.
+
+    Of rows that tie for the last places, any are taken.
+    """
+    before, ties, missing = _prefix(df, order, n)
+    rows = df.filter(before)
+    return rows.unionByName(df.filter(ties).limit(missing)) if missing else rows
 
 
 def top_n_per_group(

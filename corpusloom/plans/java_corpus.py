@@ -48,6 +48,8 @@ def mine_java_methods(
     order keys; only files with a method that stays, at most ``limit``, are then gone through again.
     """
     files = commit_files(files)
+    if "repo_seq" not in files.columns:
+        raise ValueError("files need repo_seq, the order of the repositories")
     if licenses is not None:
         files = license_filter(files, licenses)
     order = ["repo_seq", "commit_seq", "file_seq", "method_seq"]

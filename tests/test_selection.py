@@ -23,10 +23,12 @@ def test_first_n_rows(keyed, n, monkeypatch):
     assert sorted(tuple(r) for r in got) == sorted(rows)[:n]
 
 
-def test_first_n_needs_a_key(spark):
-    df = spark.createDataFrame([(1,), (1,)], "a int")
+def test_ties(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (1, "z"), (0, "w"), (2, "v")], "a int, b string")
+    got = sorted(r.b for r in selection.first_n_rows(df, ["a"], 3).collect())
+    assert len(got) == 3 and got[0] == "w" and set(got[1:]) < {"x", "y", "z"}
     with pytest.raises(ValueError):
-        selection.first_n_rows(df, ["a"], 1)
+        selection.prefix_predicate(df, ["a"], 3)
 
 
 def test_quota_above_the_prune_limit(spark, monkeypatch):
