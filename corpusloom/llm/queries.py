@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.sharding import byte_shards
+from corpusloom.llm.simhash import near_duplicates
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     shards = byte_shards(_table(spark, folder, "documents"), 8)
     return shards.select(
@@ -24,6 +29,7 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
 }
