@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm.block_naming import exact_duplicates
+from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.sharding import byte_shards
 from corpusloom.llm.simhash import near_duplicates
 
@@ -14,6 +16,14 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = encode_decode(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                          public_tokenizers.PATTERN, carry=["doc_id"])
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -29,6 +39,7 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
