@@ -79,6 +79,7 @@ def exact_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         "tail": F.expr(f"substring(content, greatest(octet_length(content) - {EDGE - 1}, 1), {EDGE})")})
     key = ["n_bytes", "head", "tail"]
     shared = settle(docs.groupBy(*key).agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select(*key))
+    shared = shared.hint("merge")  # one plan at every size: a small list of classes grows with the corpus
 
     alone = docs.withColumn("text_sha256", F.sha2("content", 256)).drop("content").join(shared, key, "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
