@@ -10,6 +10,7 @@ from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.sharding import byte_shards
 from corpusloom.llm.simhash import near_duplicates
+from corpusloom.llm.token_counts import count_tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,11 +39,19 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    docs = docs.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), carry=["doc_id", "n_bytes"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op8_token_counts": op8_token_counts,
 }
 
 ORACLES = {
