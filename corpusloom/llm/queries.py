@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
+from corpusloom.llm.mixture_langid import fold, learn, predict
 from corpusloom.llm.sharding import byte_shards
 from corpusloom.llm.simhash import near_duplicates
 from corpusloom.llm.token_counts import count_tokens
@@ -25,6 +26,13 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    langs, model = learn(docs.where(fold("doc_id", 3) != 1))
+    found = predict(docs.withColumn("held_out", fold("doc_id", 3) == 1), langs, model, carry=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.map_keys("lang_shares").alias("langs"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
@@ -48,6 +56,7 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_language_mixture": op2_language_mixture,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
