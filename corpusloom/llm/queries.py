@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
+from corpusloom.llm.crf_extract import extract_text
 from corpusloom.llm.mixture_langid import fold, learn, predict
 from corpusloom.llm.sharding import byte_shards
 from corpusloom.llm.simhash import near_duplicates
@@ -47,6 +48,10 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(_table(spark, folder, "pages"), carry=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     docs = docs.withColumn("n_bytes", F.octet_length(F.coalesce("text", F.lit(""))).cast("long"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
 }
 
