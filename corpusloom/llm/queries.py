@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.crf_extract import extract_text
+from corpusloom.llm.lattice_lm import score_texts
 from corpusloom.llm.mixture_langid import fold, learn, predict
 from corpusloom.llm.sharding import byte_shards
 from corpusloom.llm.simhash import near_duplicates
@@ -30,7 +31,7 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     langs, model = learn(docs.where(fold("doc_id", 3) != 1))
-    found = predict(docs.withColumn("held_out", fold("doc_id", 3) == 1), langs, model, carry=["doc_id", "held_out"])
+    found = predict(docs.withColumn("held_out", fold("doc_id", 3) == 1), langs, model, carry=["doc_id", "held_out"], rounds=2)
     return found.select("doc_id", "held_out", "lang_pred", "score", F.map_keys("lang_shares").alias("langs"))
 
 
@@ -59,6 +60,11 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op9_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", fold("doc_id", 5) == 1)
+    return score_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), fold("doc_id", 5) != 1, carry=["doc_id", "held_out"], rounds=2)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
@@ -67,6 +73,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
+    "op9_lattice_scores": op9_lattice_scores,
 }
 
 ORACLES = {
