@@ -11,6 +11,7 @@ from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.crf_extract import extract_text
 from corpusloom.llm.lattice_lm import score_texts
 from corpusloom.llm.mixture_langid import fold, learn, predict
+from corpusloom.llm.projection_knn import nearest_neighbours
 from corpusloom.llm.sharding import byte_shards
 from corpusloom.llm.simhash import near_duplicates
 from corpusloom.llm.token_counts import count_tokens
@@ -65,6 +66,11 @@ def op9_lattice_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_texts(docs, public_tokenizers.path("piece_bpe_32k.model"), fold("doc_id", 5) != 1, carry=["doc_id", "held_out"], rounds=2)
 
 
+def op10_projection_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
@@ -74,6 +80,7 @@ QUERIES = {
     "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
     "op9_lattice_scores": op9_lattice_scores,
+    "op10_projection_search": op10_projection_search,
 }
 
 ORACLES = {
