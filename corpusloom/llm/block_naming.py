@@ -8,6 +8,8 @@ the verdict, so there is nothing to collide.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +61,9 @@ def identities(texts: DataFrame, *, block_bytes: int = 8192) -> DataFrame:
     return out
 
 
-def exact_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8192) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``df``.
+def exact_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8192,
+                     carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256`` and the columns ``carry`` (under other names) for every row of ``df``.
 
     Texts are equal when identical byte for byte; null counts as the empty text. Of equal texts the row
     with the largest id stays (null is the smallest id); among repeated rows with that id, one. The
@@ -73,25 +76,25 @@ def exact_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     split the partition it fills.
     """
     content = F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).cast("binary")
-    docs = df.select(F.col(quoted(id_col)).alias("doc_id"), content.alias("content"))
+    docs = df.select(F.col(quoted(id_col)).alias("doc_id"), content.alias("content"), *[F.col(quoted(c)) for c in carry])
     docs = docs.withColumns({
         "n_bytes": F.octet_length("content").cast("long"), "head": F.substring("content", 1, EDGE),
         "tail": F.expr(f"substring(content, greatest(octet_length(content) - {EDGE - 1}, 1), {EDGE})")})
-    key = ["n_bytes", "head", "tail"]
+    key, kept = ["n_bytes", "head", "tail"], [quoted(c) for c in carry]
     shared = settle(docs.groupBy(*key).agg(F.count(F.lit(1)).alias("uses")).where("uses > 1").select(*key))
     shared = shared.hint("merge")  # one plan at every size: a small list of classes grows with the corpus
 
     alone = docs.withColumn("text_sha256", F.sha2("content", 256)).drop("content").join(shared, key, "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), "text_sha256")
+        F.lit(True).alias("kept"), "text_sha256", *kept)
 
-    rivals = settle(docs.join(shared, key, "left_semi").select("doc_id", "content")
+    rivals = settle(docs.join(shared, key, "left_semi").select("doc_id", "content", *kept)
                     .withColumn("row_id", F.monotonically_increasing_id()))
     named = settle(identities(rivals.select("row_id", "content"), block_bytes=block_bytes).join(
-        rivals.select("row_id", "doc_id", F.sha2("content", 256).alias("text_sha256")), "row_id"))
+        rivals.select("row_id", "doc_id", F.sha2("content", 256).alias("text_sha256"), *kept), "row_id"))
     best = settle(named.groupBy("n_bytes", "name").agg(
         F.max(F.struct("doc_id", "row_id")).alias("best"), F.count(F.lit(1)).alias("group_size")))
     judged = named.join(best, ["n_bytes", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256")
+        (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256", *kept)
     return alone.unionByName(judged)

@@ -10,6 +10,7 @@ from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.crf_extract import extract_text
 from corpusloom.llm.lattice_lm import score_texts
+from corpusloom.llm.mixing import mix_sources
 from corpusloom.llm.mixture_langid import fold, learn, predict
 from corpusloom.llm.projection_knn import nearest_neighbours
 from corpusloom.llm.sharding import byte_shards
@@ -50,6 +51,11 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op6_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(_table(spark, folder, "documents"), repeats=2.0)
+    return mixed.select("doc_id", "source", "n_tokens", "pass_no", "block", "block_rank")
+
+
 def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extract_text(_table(spark, folder, "pages"), carry=["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -77,6 +83,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_temperature_mixing": op6_temperature_mixing,
     "op7_html_extraction": op7_html_extraction,
     "op8_token_counts": op8_token_counts,
     "op9_lattice_scores": op9_lattice_scores,

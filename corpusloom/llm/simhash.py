@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,7 +131,8 @@ def fingerprint_components(codes: DataFrame, *, limit: int = 4) -> DataFrame:
 
 def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words_each: int = 4,
                     limit: int = 4, carry: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, fingerprint`` (16 lowercase hex digits), ``component_id`` and the columns ``carry``, for every row.
+    """``doc_id, fingerprint`` (16 lowercase hex digits), ``component_id``, ``component_code`` (a fingerprint that stands for the
+    component) and the columns ``carry`` (under other names), for every row.
 
     Texts have A-Z lower-cased and are split at ASCII white space; shingles of ``words_each`` words, repeats
     included, are hashed by XXH64 and vote on each of 64 bits. A shorter text is one shingle; null and
@@ -147,7 +148,11 @@ def near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     rooted = smallest.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = settle(rooted.select("fingerprint", "root", "low"))
     names = settle(rooted.groupBy("root").agg(F.min("low").alias("component_id")))
-    by_code = settle(rooted.join(names, "root").select("fingerprint", "component_id"))
+    by_code = settle(rooted.join(names, "root").select("fingerprint", "component_id", "root"))
+
+    def digits(code: str) -> Column:
+        return F.lpad(F.lower(F.hex(code)), 16, "0")
+
     return coded.join(by_code, "fingerprint").select(
-        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id",
+        "doc_id", digits("fingerprint").alias("fingerprint"), "component_id", digits("root").alias("component_code"),
         *[quoted(c) for c in carry])
