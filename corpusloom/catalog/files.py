@@ -34,6 +34,15 @@ def _escaped(spark, sf):
     return back.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
 
 
+def _escaped_headers(spark, sf):
+    """One column with records that are empty, null or equal to the header: all come back."""
+    path = scratch_path(spark, "headers")
+    kind = F.col("doc_id") % 5
+    text = F.when(kind == 0, "text").when(kind == 1, "").when(kind == 2, None).otherwise(F.col("text"))
+    write_escaped_csv(documents(spark, sf, "doc_id", "text").select(text.alias("text")), path)
+    return read_escaped_csv(spark, path, required=["text"]).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _escaped_tokens(spark, sf):
     """Token lists through the file, as training reads them."""
     path = scratch_path(spark, "tokens")
@@ -116,6 +125,7 @@ def _stream(spark, sf):
 
 QUERIES = {
     "escaped_csv_round_trip": _escaped,
+    "escaped_csv_headers": _escaped_headers,
     "escaped_csv_sequences": _escaped_tokens,
     "quoted_csv_round_trip": _quoted,
     "scan_source_tree": _tree,
@@ -134,6 +144,8 @@ _LANG = "CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS lang"
 
 ORACLES = {
     "escaped_csv_round_trip": f"SELECT doc_id, {_MIXED} AS text, {_LANG} FROM documents",
+    "escaped_csv_headers": """SELECT CASE doc_id % 5 WHEN 0 THEN 'text' WHEN 1 THEN '' WHEN 2 THEN '' ELSE text END AS text, count(*) AS n
+      FROM documents GROUP BY 1""",
     "escaped_csv_sequences": r"""WITH parts AS (SELECT doc_id AS seq_id,
         list_filter(list_transform(string_split_regex(text, '[ \n]+|,'), lambda x: trim(x)), lambda x: x <> '') AS toks FROM documents)
       SELECT seq_id, array_to_string(toks, '|') AS tokens FROM parts WHERE len(toks) > 0""",

@@ -32,6 +32,16 @@ def _first_rows(spark, sf):
     return first_n_rows(read_table(spark, sf, "lineitem").select(*order), order, 5000)
 
 
+def _first_rows_of_hashes(spark, sf):
+    """Order keys over the whole span of longs, one in seven of them null."""
+    rows = documents(spark, sf, "doc_id", "lang")
+    sign = F.when(F.col("doc_id") % 2 == 0, 1).otherwise(-1)
+    spread = (F.lit(9223372036854775807) - F.col("doc_id") * F.lit(1000000007)) * sign
+    keyed = rows.withColumn("key", F.when(F.col("doc_id") % 7 != 0, spread))
+    n = keyed.count()
+    return first_n_rows(keyed, ["key", "doc_id"], n - n // 14)
+
+
 def _quota(spark, sf):
     files = documents(spark, sf, "doc_id", "source", "text")
     return per_repo_quota(files, 30, repo="source", order=["doc_id"])
@@ -63,6 +73,7 @@ QUERIES = {
     "split_exact": _exact_split,
     "split_three_way": _three_way,
     "first_n_rows": _first_rows,
+    "first_n_rows_hashed": _first_rows_of_hashes,
     "per_repo_quota": _quota,
     "per_repo_quota_large": _large_quota,
     "global_cap": _cap,
@@ -79,6 +90,9 @@ ORACLES = {
     "split_three_way": f"""SELECT o_orderkey, CASE WHEN {_DRAW} >= {0.2 * KEY_SPAN} THEN 'train'
       WHEN {draw32_sql('42.held', 'o_orderkey')} < {0.5 * KEY_SPAN} THEN 'test' ELSE 'validation' END AS split FROM orders""",
     "first_n_rows": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem ORDER BY ALL LIMIT 5000",
+    "first_n_rows_hashed": """SELECT doc_id, lang, CASE WHEN doc_id % 7 <> 0 THEN
+        (9223372036854775807 - doc_id * 1000000007) * CASE WHEN doc_id % 2 = 0 THEN 1 ELSE -1 END END AS key FROM documents
+      QUALIFY row_number() OVER (ORDER BY key NULLS LAST, doc_id) <= (SELECT count(*) - count(*) // 14 FROM documents)""",
     "per_repo_quota": """SELECT doc_id, source, text FROM documents
       QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 30""",
     "per_repo_quota_large": """SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem

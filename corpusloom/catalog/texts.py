@@ -63,15 +63,15 @@ def _first_non_empty(spark, sf):
 
 
 def _min_tokens(spark, sf):
-    turns = read_table(spark, sf, "conversations").select("conv_id", "turn", F.substring_index("text", ".", 1).alias("source"))
-    return min_tokens_filter(turns, "source", 8)
+    turns = read_table(spark, sf, "conversations").select("conv_id", "turn", F.col("text").alias("source"))
+    return min_tokens_filter(turns, "source", 60)
 
 
 def _min_length(spark, sf):
     turns = read_table(spark, sf, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.substring_index("text", ".", 1).alias("head")
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("head")
     )
-    return min_length(text_sequences(turns, "id", "head"), 2).select("seq_id", F.size("tokens").cast("bigint").alias("n"))
+    return min_length(text_sequences(turns, "id", "head"), 60).select("seq_id", F.size("tokens").cast("bigint").alias("n"))
 
 
 def _load_sequences(spark, sf):
@@ -122,7 +122,6 @@ QUERIES = {
 }
 
 _SPLIT = r"list_filter(string_split_regex({t}, '[ \t\r\n]+'), lambda x: x <> '')"
-_HEAD = "split_part(text, '.', 1)"
 _GAPS = """gaps AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN '' END AS source,
   CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS code, CASE WHEN doc_id % 5 = 0 THEN text END AS input FROM documents)"""
 _EVAL = """preds AS (SELECT text AS input_provided, doc_id % 3 = 0 AS correct, ' ' || source AS expected_if_condition,
@@ -140,10 +139,10 @@ ORACLES = {
     "coalesce_text": f"""WITH {_GAPS} SELECT doc_id, coalesce(nullif(source, ''), nullif(code, ''), nullif(input, '')) AS text
       FROM gaps WHERE coalesce(nullif(source, ''), nullif(code, ''), nullif(input, '')) IS NOT NULL""",
     "first_non_empty": f"WITH {_GAPS} SELECT doc_id, coalesce(nullif(source, ''), nullif(code, '')) AS text FROM gaps",
-    "min_tokens_filter": f"""SELECT conv_id, turn, {_HEAD} AS source FROM conversations
-      WHERE len({_SPLIT.format(t=_HEAD)}) >= 8""",
-    "seq_min_length": f"""SELECT conv_id * 1000 + turn AS seq_id, len({_SPLIT.format(t=_HEAD)}) AS n FROM conversations
-      WHERE len({_SPLIT.format(t=_HEAD)}) >= 2""",
+    "min_tokens_filter": f"""SELECT conv_id, turn, text AS source FROM conversations
+      WHERE len({_SPLIT.format(t='text')}) >= 60""",
+    "seq_min_length": f"""SELECT conv_id * 1000 + turn AS seq_id, len({_SPLIT.format(t='text')}) AS n FROM conversations
+      WHERE len({_SPLIT.format(t='text')}) >= 60""",
     "load_sequences": r"""WITH parts AS (SELECT doc_id AS seq_id,
         list_filter(list_transform(string_split(text || ', ,' || lang, ','),
           lambda x: regexp_replace(regexp_replace(x, '^[ \t\r\n]+', ''), '[ \t\r\n]+$', '')), lambda x: x <> '') AS toks

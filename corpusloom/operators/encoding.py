@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,6 +14,33 @@ from corpusloom.operators.bpe import SPECIAL_TOKENS, Tokenizer, byte_alphabet, p
 PAD, BOS, EOS, UNK = SPECIAL_TOKENS[:4]
 
 
+def merge_word(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Merge adjacent symbols, those of the lowest rank first and of these the leftmost.
+
+    The symbols form a linked list and the pairs a heap, so a word of n symbols takes n log n steps. Entries of
+    the heap whose symbols have since changed are passed over.
+    """
+    n = len(parts)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(ranks[pair], i) for i, pair in enumerate(zip(parts, parts[1:])) if pair in ranks]
+    heapify(heap)
+    alive = [True] * n
+    while heap:
+        rank, i = heappop(heap)
+        j = after[i] if alive[i] else n
+        if j >= n or ranks.get((parts[i], parts[j])) != rank:
+            continue
+        parts[i] += parts[j]
+        alive[j] = False
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+        for left, right in ((before[i], i), (i, k)):
+            if left >= 0 and right < n and (new := ranks.get((parts[left], parts[right]))) is not None:
+                heappush(heap, (new, left))
+    return [p for p, on in zip(parts, alive) if on]
+
+
 def encode_bpe(
     df: DataFrame, tokenizer: Tokenizer, columns: dict[str, str], special_tokens: list[str] = SPECIAL_TOKENS
 ) -> DataFrame:
@@ -28,22 +57,15 @@ def encode_bpe(
     shared = df.sparkSession.sparkContext.broadcast((ids, ranks, set(known), byte_alphabet()))
 
     @F.pandas_udf("array<int>")
-    def encode(batch: pd.Series) -> pd.Series:
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids, ranks, special, alphabet = shared.value
         unknown = ids.get("<unk>")
-        seen = {}
+        seen = {}  # of the task
 
         def word_ids(word):
             if word in special:
                 return [ids[word]]
-            parts = [alphabet[b] for b in word.encode("utf-8")]
-            while len(parts) > 1:
-                rank, at = min(
-                    (ranks.get(pair, len(ranks)), i) for i, pair in enumerate(zip(parts, parts[1:]))
-                )
-                if rank == len(ranks):
-                    break
-                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            parts = merge_word([alphabet[b] for b in word.encode("utf-8")], ranks)
             return [i for i in (ids.get(p, unknown) for p in parts) if i is not None]
 
         def of(words):
@@ -58,7 +80,8 @@ def encode_bpe(
                 out.extend(seen[w])
             return out
 
-        return batch.map(of)
+        for batch in batches:
+            yield batch.map(of)
 
     return df.withColumns({name: encode(_pieces(F.col(text), known)) for text, name in columns.items()})
 

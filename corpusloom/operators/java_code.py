@@ -22,8 +22,9 @@ MIN_FILE_LINES, MAX_FILE_LINES = 3, 1_000
 
 # The lexical grammar. Neither >> nor >>> is a token, so that type arguments nest.
 _TEXT_BLOCK = r'"""[\s\S]*?"""'
-_STRING = r'"[^"\\\n]*(?:\\.[^"\\\n]*)*"'
-_CHARACTER = r"'[^'\\\n]*(?:\\.[^'\\\n]*)*'"
+# Possessive: a repeated group that may give back recurses, and long literals would exhaust the stack.
+_STRING = r'"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"'
+_CHARACTER = r"'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'"
 _NUMBER = (
     r"0[xX][0-9a-fA-F_]+[lL]?|0[bB][01_]+[lL]?"
     r"|(?:[0-9][0-9_]*\.?[0-9_]*|\.[0-9][0-9_]*)(?:[eE][+-]?[0-9_]+)?[lLfFdD]?"
@@ -113,6 +114,7 @@ def java_methods(source: Column) -> Column:
         not_types = [
             "return", "new", "else", "throw", "case", "assert", "yield", "package", "import", "do", "goto", "public",
             "protected", "private", "static", "final", "abstract", "native", "synchronized", "default", "strictfp",
+            "record", "class", "interface", "enum",
         ]
         # Words before a parenthesis that are no method name.
         not_names = {"if", "for", "while", "switch", "catch", "synchronized", "try", "super", "this"}

@@ -6,16 +6,37 @@ whose text cannot be cut out, costs only itself.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+# The columns of function rows.
 FUNCTION_SCHEMA = (
     "repo string, file string, function_name string, num_lines int, num_if int, ifs string, source string"
 )
 
 
+class Segments:
+    """Texts of syntax nodes; the source is cut into lines once, whatever the number of nodes."""
+
+    def __init__(self, code: str):
+        self.lines = [line.encode("utf-8") for line in re.findall(r"[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+", code)]
+
+    def of(self, node) -> str | None:
+        first, last = getattr(node, "lineno", None), getattr(node, "end_lineno", None)
+        if first is None or last is None or node.end_col_offset is None:
+            return None
+        lines = self.lines[first - 1:last]
+        if not lines:
+            return None
+        # Columns count bytes. The end is cut first, as start and end may share a line.
+        lines[-1] = lines[-1][:node.end_col_offset]
+        lines[0] = lines[0][node.col_offset:]
+        return b"".join(lines).decode("utf-8")
+
+
 def decode_utf8_ignore(content: Column) -> Column:
     """Text of UTF-8 bytes without the bytes that do not decode."""
 
@@ -41,7 +62,8 @@ def if_conditions(code: Column) -> Column:
                     tree = ast.parse(code)
             except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
                 return []
-            tests = (ast.get_source_segment(code, n.test) for n in ast.walk(tree) if isinstance(n, ast.If))
+            segments = Segments(code)
+            tests = (segments.of(n.test) for n in ast.walk(tree) if isinstance(n, ast.If))
             return [t.strip() for t in tests if t and t.strip()]
 
         return batch.map(of)
@@ -71,14 +93,15 @@ def extract_python_functions(files: DataFrame, split_type: str = "pretrain", min
                         tree = ast.parse(text)
                 except (SyntaxError, ValueError, TypeError, RecursionError, MemoryError):
                     continue
+                segments = Segments(text)
                 for node in ast.walk(tree):
                     if not isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef)):
                         continue
-                    segment = ast.get_source_segment(text, node)
+                    segment = segments.of(node)
                     if segment is None:
                         continue
                     ifs = [n for n in ast.walk(node) if isinstance(n, ast.If)]
-                    tests = [ast.get_source_segment(text, n.test) for n in ifs]
+                    tests = [segments.of(n.test) for n in ifs]
                     rows.append((
                         repo, file, node.name, segment.count("\n") + 1, len(ifs),
                         "; ".join(t.strip() for t in tests if t), segment.strip(),

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from corpusloom.functions.seeded import KEY_SPAN, draw32
 
 _HISTOGRAM = 1 << 14
-_SALTS = 32
 _GROUP_LIMIT = 1000  # largest rank Spark prunes map-side by default
 
 
@@ -28,23 +27,35 @@ def _prefix(df: DataFrame, order: Sequence[str], n: int) -> tuple[Column, Column
     places, and how many of the latter belong.
 
     Finds the n-th smallest key by narrowing a range with histograms of at most 16,384
-    counts, one order column after the other. Rows are never sorted, shuffled or sent to a
-    single task, and each later pass pushes its narrower range into the scan.
+    counts, one order column after the other; nulls come last. Rows are never sorted, shuffled or
+    sent to a single task, and each later pass pushes its narrower range into the scan.
     """
+    kinds = dict(df.dtypes)
+    for name in order:
+        if kinds[name] not in ("tinyint", "smallint", "int", "bigint"):
+            raise TypeError(f"order column {name} is {kinds[name]}; integers are needed")
     if n <= 0:
         return F.lit(False), F.lit(False), 0
-    scope, wanted = df.select(*order), n
+    scope, wanted = df.select(*[F.col(_quoted(o)) for o in order]), n
     equal, clauses = F.lit(True), []
     for name in order:
-        c = F.col(name)
-        total, low, high = scope.agg(F.count(F.lit(1)), F.min(c), F.max(c)).first()
+        c = F.col(_quoted(name))
+        total, present, low, high = scope.agg(F.count(F.lit(1)), F.count(c), F.min(c), F.max(c)).first()
         if total <= wanted:
             clauses.append(equal)
             wanted = 0
             break
+        if present <= wanted:  # all that have a value, and some of those without
+            clauses.append(equal & c.isNotNull())
+            wanted -= present
+            if wanted == 0:
+                break
+            equal, scope = equal & c.isNull(), scope.filter(c.isNull())
+            continue
         while low < high:
             width = (high - low) // _HISTOGRAM + 1
-            slot = F.expr(f"({name} - {low}) div {width}")
+            # The whole span of longs does not fit a long.
+            slot = F.expr(f"cast((cast({_quoted(name)} as decimal(20,0)) - cast('{low}' as decimal(20,0))) div cast('{width}' as decimal(20,0)) as bigint)")
             counts = dict(
                 scope.filter(c.between(low, high)).groupBy(slot.alias("slot")).count().collect()
             )
@@ -53,18 +64,24 @@ def _prefix(df: DataFrame, order: Sequence[str], n: int) -> tuple[Column, Column
                     break
                 wanted -= counts[s]
             low, high = low + s * width, min(high, low + s * width + width - 1)
-        clauses.append(equal & (c < low))
+        clauses.append(equal & c.isNotNull() & (c < low))
         if wanted == 0:
             break
-        equal, scope = equal & (c == low), scope.filter(c == low)
+        equal, scope = equal & c.isNotNull() & (c == low), scope.filter(c == low)
     return reduce(lambda x, y: x | y, clauses), equal, wanted
 
 
-def first_n_rows(df: DataFrame, order: Sequence[str], n: int = 150_000) -> DataFrame:
-    """The first ``n`` rows by the integer columns ``order``; all rows when there are fewer.
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def first_n_rows(df: DataFrame, order: Sequence[str], n: int | None = None) -> DataFrame:
+    """The first ``n`` rows by the integer columns ``order``, nulls last; all rows when there are fewer, or without ``n``.
 
     Of rows that tie for the last places, any are taken.
     """
+    if n is None:
+        return df
     before, ties, missing = _prefix(df, order, n)
     rows = df.filter(before)
     return rows.unionByName(df.filter(ties).limit(missing)) if missing else rows
@@ -76,11 +93,12 @@ def top_n_per_group(
     """The first ``n`` rows of every group by ``order``.
 
     Up to rank 1000 Spark itself prunes groups before the shuffle. Above that, a hot group is
-    first cut down in parts, spread by the columns ``spread``; the first n of the group are
-    among the first n of its parts.
+    first cut down in as many parts as a shuffle has, spread by the columns ``spread``; the first n of
+    the group are among the first n of its parts.
     """
     if n > _GROUP_LIMIT:
-        parts = df.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(_SALTS)))
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = df.withColumn("_part", F.pmod(F.xxhash64(*spread), F.lit(max(salts, 2))))
         ranked = parts.withColumn(
             "_rank", F.row_number().over(W.partitionBy(*keys, "_part").orderBy(*order))
         )
@@ -98,10 +116,10 @@ def per_repo_quota(
 
 
 def global_cap(
-    df: DataFrame, limit: int,
+    df: DataFrame, limit: int | None,
     order: Sequence[str] = ("repo_seq", "commit_seq", "file_seq", "method_seq"),
 ) -> DataFrame:
-    """At most ``limit`` rows over all repositories, in repository order."""
+    """At most ``limit`` rows over all repositories (``None``: all), in repository order, nulls last."""
     return first_n_rows(df, order, limit)
 
 

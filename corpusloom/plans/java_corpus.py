@@ -15,6 +15,7 @@ from corpusloom.scratch import settle
 from corpusloom.sources.trees import commit_files
 
 _MAX_BROADCAST = 100_000
+# The columns of method rows.
 METHOD_COLUMNS = (
     "dataset_split", "repo_name", "repo_url", "commit_sha", "file_path", "method_name", "start_line",
     "end_line", "signature", "original_code", "code_tokens",

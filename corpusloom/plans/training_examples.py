@@ -28,9 +28,9 @@ def _encoded(masked: DataFrame, tokenizer: Tokenizer, max_input: int, max_target
 
 
 def pretraining_examples(
-    functions: DataFrame, id_col: str, tokenizer: Tokenizer, n_rows: int = 150_000, seed: int = 42
+    functions: DataFrame, id_col: str, tokenizer: Tokenizer, n_rows: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """First rows, split 90/10, then masked at random: ``split, input_ids, attention_mask, labels``."""
+    """First ``n_rows`` rows (``None``: all), split 90/10, then masked at random: ``split, input_ids, attention_mask, labels``."""
     masked = mask_random_tokens(first_n_rows(functions, [id_col], n_rows), id_col, seed=seed)
     # A row's split depends on its id alone, so it may as well be decided after masking.
     masked = split_column(masked, id_col, 0.1, seed, ("train", "test"))

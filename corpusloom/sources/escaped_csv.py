@@ -3,7 +3,8 @@ records end in CRLF.
 
 Since CR and LF inside fields are escaped one by one, a bare CRLF only ever ends a record, so
 files stay splittable by line. ``spark.read.csv`` honours its escape character inside quotes
-only and cannot read this form.
+only and cannot read this form. Quoted fields are read too, and files whose records end in LF; these
+cannot be split and take one task per file.
 """
 
 from __future__ import annotations
@@ -11,41 +12,69 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 _RECORD_END = "\r\n"
-_FIELD = r"(?s),([^,\\]*+(?:\\.[^,\\]*+)*+)"
+_QUOTED = r'"(?:[^"\\]++|""|\\.)*+"'
+_FIELD = rf"(?s),({_QUOTED}(?=,|\z)|[^,\\]*+(?:\\.[^,\\]*+)*+)"
+# A record of a whole file: what is quoted or escaped may hold line ends.
+_RECORD = rf'(?s)((?:{_QUOTED}|\\.|[^"\\\r\n]++|"|\r(?!\n))*+)(?:\r?\n|\z)'
 
 
 def _fields(record: Column) -> Column:
     # The comma put in front makes every field, also an empty first one, start with a comma.
     raw = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(_FIELD), F.lit(1))
-    return F.transform(raw, lambda f: F.regexp_replace(f, r"(?s)\\(.)", "$1"))
+    quoted = lambda f: F.regexp_replace(f.substr(F.lit(2), F.length(f) - 2), '""', '"')
+    bare = lambda f: F.when(f.rlike(rf"(?s)\A{_QUOTED}\z"), quoted(f)).otherwise(f)
+    return F.transform(raw, lambda f: F.regexp_replace(bare(f), r"(?s)\\(.)", "$1"))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Records ``value`` with ``file``, ``starts`` (in the block that begins the file) and ``at``, their order in it."""
+    lines = spark.read.option("lineSep", _RECORD_END).text(path)
+    return lines.select(
+        "value", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("starts"),
+        F.monotonically_increasing_id().alias("at"))
+
+
+def _whole(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    records = files.select("file", F.posexplode(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1))).alias("at", "value"))
+    return records.select("value", "file", F.lit(True).alias("starts"), F.col("at").cast("bigint").alias("at"))
 
 
 def read_escaped_csv(
     spark: SparkSession, path: str, required: Sequence[str] = (), columns: Sequence[str] | None = None
 ) -> DataFrame:
     """All columns as strings. A missing path gives an empty DataFrame; a missing required column
-    raises. ``columns`` names the columns of an empty result."""
+    raises. ``columns`` names the columns of an empty result.
+
+    The first record of a file is its header if it equals that of the first file read; a later record that looks like
+    it is data. Lines without anything are no records.
+    """
     try:
-        lines = spark.read.option("lineSep", _RECORD_END).text(path)
-        header = lines.select(_fields(F.col("value"))).first()
+        first = spark.read.option("lineSep", _RECORD_END).text(path).first()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        header = None
-    if header is None:
+        first = None
+    if first is None:
         names = list(columns or required)
         return spark.createDataFrame([], StructType([StructField(n, StringType()) for n in names]))
-    names = header[0]
+    # A line feed in the first line that no backslash escapes: records end in LF.
+    probe = spark.createDataFrame([(first[0],)], "value string")
+    splits = probe.select(F.regexp_extract("value", _RECORD, 1).alias("record")).first()[0]
+    lines = _lines(spark, path) if splits == first[0] else _whole(spark, path)
+    names = probe.select(_fields(F.lit(splits))).first()[0]
     missing = [c for c in required if c not in names]
     if missing:
         raise ValueError(f"{path} must contain the columns {missing}")
-    header_line = ",".join(_escape_name(n) for n in names)
-    # Every file written carries the header.
-    records = lines.filter((F.col("value") != header_line) & (F.col("value") != ""))
+    is_header = (F.col("value") == F.lit(splits)) & F.col("starts")
+    # Only records that equal the header are put in order, to find the one that begins each file.
+    nth = F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    alike = lines.filter(is_header).withColumn("nth", nth).filter("nth > 1").select("value")
+    records = lines.filter(~is_header & (F.col("value") != "")).select("value").unionByName(alike)
     fields = records.select(_fields(F.col("value")).alias("f"))
     return fields.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
@@ -60,11 +89,20 @@ def _escaped(c: Column) -> Column:
 
 
 def write_escaped_csv(df: DataFrame, path: str) -> None:
-    """One header per file, as each task writes its own file; nothing is gathered for it."""
-    record = F.concat_ws(",", *[_escaped(F.col(c)) for c in df.columns]).alias("value")
+    """One header per file, as each task writes its own file; nothing is gathered for it.
+
+    A record that is empty (one column, no text) is written as ``""``, the quoted form, so that it
+    remains one. A table without rows is written as a header alone.
+    """
+    record = F.concat_ws(",", *[_escaped(F.col("`" + c.replace("`", "``") + "`")) for c in df.columns])
+    record = F.when(record == "", '""').otherwise(record).alias("value")
     header = ",".join(_escape_name(c) for c in df.columns)
     first = "_first"
     # mapInPandas would cost a round trip through Python; numbering rows of a partition is enough.
     numbered = df.select(record, (F.monotonically_increasing_id() % F.lit(1 << 33) == 0).alias(first))
     with_header = F.when(F.col(first), F.concat(F.lit(header + _RECORD_END), "value")).otherwise(F.col("value"))
     numbered.select(with_header.alias("value")).write.option("lineSep", _RECORD_END).text(path)
+    spark = df.sparkSession
+    if spark.read.text(path).isEmpty():
+        only = spark.createDataFrame([(header,)], "value string").coalesce(1)
+        only.write.mode("append").option("lineSep", _RECORD_END).text(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.text import repo_full_name, repo_short_name, strip
@@ -20,12 +22,16 @@ def scan_source_tree(spark: SparkSession, root: str, pattern: str = "*.py") -> D
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     )
-    base = F.lit(root.rstrip("/").removeprefix("file:").lstrip("/") + "/")
-    at = F.instr(F.col("path"), base)
-    below = F.substring(F.col("path"), at + F.length(base), F.length("path"))
+    # As the file system itself spells the root, so that it is compared as a prefix and nothing else.
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = system.makeQualified(folder).toString().rstrip("/") + "/"
+    path = F.regexp_replace("path", "^file:/+", "file:/")
+    base = F.lit(re.sub("^file:/+", "file:/", base))
+    below = F.substring(path, F.length(base) + 1, F.length(path))
     return (
-        files.select(below.alias("file"), "content")
-        .filter(F.col("file").contains("/"))
+        files.select(below.alias("file"), "content", path.startswith(base).alias("_below"))
+        .filter(F.col("_below") & F.col("file").contains("/"))
         .select(F.substring_index("file", "/", 1).alias("repo"), "file", "content")
     )
 

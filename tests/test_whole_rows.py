@@ -1,0 +1,137 @@
+"""Inputs that used to be lost, to be slow or to end the job."""
+
+import ast
+import csv
+import random
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.operators import selection
+from corpusloom.operators.encoding import merge_word
+from corpusloom.operators.java_code import find_java_methods, lexable, tokenize_java
+from corpusloom.operators.python_code import Segments, extract_python_functions
+from corpusloom.plans.java_corpus import clean_files, mine_java_methods
+from corpusloom.sources.escaped_csv import read_escaped_csv, write_escaped_csv
+from corpusloom.sources.trees import scan_source_tree
+
+
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_literals_with_many_escapes(spark, quote):
+    literal = quote + "\\n" * 20_000 + quote
+    code = f"class A {{\n  void f() {{\n    Object s = {literal};\n  }}\n}}\n"
+    df = spark.createDataFrame([("r", "u", 0, "c", 0, "A.java", code)],
+                               "repo_name string, repo_url string, commit_seq long, commit_sha string, file_seq int, file_path string, source_code string")
+    row = df.select(tokenize_java(F.col("source_code")).alias("t"), lexable(F.col("source_code")).alias("ok")).first()
+    assert row.ok and literal in row.t
+    assert clean_files(df).count() == 1
+
+
+def test_records_are_no_methods(spark):
+    df = spark.createDataFrame([("class A { record P(int x, int y) {} int size() { return 1; } enum E { X } }",)], "source_code string")
+    assert [r.method_name for r in find_java_methods(df).collect()] == ["size"]
+
+
+def test_one_column_with_empty_and_header_records(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.createDataFrame([("x",), ("",), (None,), ("t",), ("y",), ("t",)], "t string")
+    write_escaped_csv(df.repartition(2), path)
+    assert sorted(r.t for r in read_escaped_csv(spark, path).collect()) == ["", "", "t", "t", "x", "y"]
+
+
+def test_empty_table_keeps_its_columns(spark, tmp_path):
+    path = str(tmp_path / "out")
+    write_escaped_csv(spark.createDataFrame([], "a string, `b,c` int"), path)
+    back = read_escaped_csv(spark, path)
+    assert back.columns == ["a", "b,c"] and back.count() == 0
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("quoting", [csv.QUOTE_MINIMAL, csv.QUOTE_ALL])
+def test_files_of_the_csv_module(spark, tmp_path, end, quoting):
+    path = tmp_path / "theirs.csv"
+    rows = [("a", "b"), ("plain", "with, comma"), ('say "hi"', "x"), ("", "y"), ("back\\slash", "é")]
+    if end == "\n":
+        rows.append(("two\nlines", "z"))
+    with path.open("w", newline="", encoding="utf-8") as f:
+        csv.writer(f, quoting=quoting, lineterminator=end, escapechar="\\").writerows(rows)
+    with path.open(newline="", encoding="utf-8") as f:
+        expected = [tuple(r) for r in csv.reader(f, quotechar='"', escapechar="\\")][1:]
+    assert sorted(map(tuple, read_escaped_csv(spark, str(path)).collect())) == sorted(expected)
+
+
+def test_several_files_with_a_header_each(spark, tmp_path):
+    for name in ("p1.csv", "p2.csv"):
+        (tmp_path / name).write_bytes(b"a,b\r\n1,2\r\na,b\r\n3,4\r\n")
+    assert sorted(map(tuple, read_escaped_csv(spark, str(tmp_path)).collect())) == sorted([("1", "2"), ("a", "b"), ("3", "4")] * 2)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 6, 8, 100])
+def test_null_and_full_range_order_keys(spark, monkeypatch, n):
+    monkeypatch.setattr(selection, "_HISTOGRAM", 4)
+    rows = [(-(2**63), 1), (2**63 - 1, 2), (0, 3), (None, 4), (None, 5), (5, None), (5, 6)]
+    df = spark.createDataFrame(rows, "key long, id long")
+    got = selection.first_n_rows(df, ["key", "id"], n).collect()
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, order[:n]))
+
+
+def test_order_keys_of_other_kinds_are_refused(spark):
+    df = spark.createDataFrame([("a",)], "key string")
+    with pytest.raises(TypeError):
+        selection.first_n_rows(df, ["key"], 1)
+    assert selection.first_n_rows(df, ["key"]).count() == 1
+
+
+def test_segments_like_the_standard_library():
+    code = "def f(é):\r\n    if é > 'ü' and \\\r\n        x:\n        return [1,\n   2]\n\n\x0cdef g(): pass\n@d\nasync def h():\r    if (a if b else 'ß'): pass"
+    tree, segments = ast.parse(code), Segments(code)
+    nodes = [n for n in ast.walk(tree) if hasattr(n, "lineno")]
+    assert len(nodes) > 20 and all(segments.of(n) == ast.get_source_segment(code, n) for n in nodes)
+
+
+def test_many_functions_in_one_file(spark):
+    text = "".join(f"def f{i}(x):\n    if x > {i}:\n        return x\n    return {i}\n\n" for i in range(2_000))
+    df = spark.createDataFrame([("r", "m.py", text)], "repo string, file string, text string")
+    began = time.time()
+    rows = extract_python_functions(df).collect()
+    assert len(rows) == 2_000 and rows[0]["ifs"] == "x > 0" and time.time() - began < 20
+
+
+def test_merging_by_heap_is_merging_by_rank():
+    draw = random.Random(3)
+    for _ in range(200):
+        symbols = [draw.choice("ab") for _ in range(draw.randint(0, 30))]
+        pairs = {}
+        for _ in range(12):
+            a, b = draw.choice(["a", "b", *map("".join, pairs)]), draw.choice(["a", "b", *map("".join, pairs)])
+            pairs.setdefault((a, b), len(pairs))
+        parts = list(symbols)
+        while True:
+            best = min(((pairs[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in pairs), default=None)
+            if best is None:
+                break
+            parts[best[1]:best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        assert merge_word(symbols, pairs) == parts
+    began = time.time()
+    merge_word(["a"] * 100_000, {("a", "a"): 0, ("aa", "aa"): 1, ("aaaa", "aaaa"): 2})
+    assert time.time() - began < 5
+
+
+def test_root_is_a_prefix_not_a_part(spark, tmp_path):
+    for folder in ("myrepos/kafka", "repos/spark"):
+        (tmp_path / folder / "repos/deep").mkdir(parents=True)
+        (tmp_path / folder / "repos/deep/a.py").write_text("x = 1\n")
+    found = scan_source_tree(spark, str(tmp_path / "myrepos")).collect()
+    assert [(r.repo, r.file) for r in found] == [("kafka", "kafka/repos/deep/a.py")]
+
+
+def test_mining_takes_long_literals(spark):
+    literal = '"' + "\\t" * 20_000 + '"'
+    code = "class A {\n" + "\n".join(f"  int f{i}(int x) {{\n    String s = {literal};\n    return x;\n  }}" for i in range(2)) + "\n}\n"
+    files = spark.createDataFrame([("r", "u", 0, "c", 0, "A.java", code)],
+                                  "repo_name string, repo_url string, commit_seq long, commit_sha string, file_seq int, file_path string, source_code string")
+    methods = find_java_methods(clean_files(files))
+    assert methods.count() == 2
+    assert mine_java_methods is not None
