@@ -211,7 +211,7 @@ def _count(code: str, ch: str) -> str:
     return f"(length({code}) - length(replace({code}, '{ch}', '')))"
 
 
-_FUNCTION_ROWS = f"""functions AS (
+FUNCTION_ROWS_SQL = f"""functions AS (
   SELECT source AS repo, 'm' || doc_id || '.py' AS file, 'outer_' || doc_id AS function_name, doc_id,
     (10 + length(text) - length(replace(text, chr(10), '')))::INTEGER AS num_lines, 3::INTEGER AS num_if,
     array_to_string({_CONDITIONS}, '; ') AS ifs, {PYTHON_FUNCTION} AS source FROM documents WHERE doc_id % 6 <> 0
@@ -241,8 +241,8 @@ ORACLES = {
         QUALIFY row_number() OVER (PARTITION BY repo_name ORDER BY doc_id, method_seq) <= 40)
       SELECT 'eval' AS dataset_split, {_ROW_COLUMNS}, array_to_string(regexp_extract_all(original_code, '{_RE}'), ', ') AS code_tokens
       FROM quota ORDER BY repo_seq, doc_id, method_seq LIMIT 160""",
-    "extract_python_functions": f"WITH {_FUNCTION_ROWS} SELECT * EXCLUDE (doc_id) FROM functions",
-    "extract_python_functions_finetune": f"WITH {_FUNCTION_ROWS} SELECT * EXCLUDE (doc_id) FROM functions WHERE num_lines >= 5",
+    "extract_python_functions": f"WITH {FUNCTION_ROWS_SQL} SELECT * EXCLUDE (doc_id) FROM functions",
+    "extract_python_functions_finetune": f"WITH {FUNCTION_ROWS_SQL} SELECT * EXCLUDE (doc_id) FROM functions WHERE num_lines >= 5",
     "extract_if_conditions": f"""SELECT 'm' || doc_id || '.py' AS file,
       CASE WHEN doc_id % 6 = 0 THEN '' ELSE array_to_string({_CONDITIONS}, '|') END AS conditions FROM documents""",
     "if_eligible": "SELECT 'm' || doc_id || '.py' AS file FROM documents WHERE doc_id % 2 = 0 AND doc_id % 6 <> 0",

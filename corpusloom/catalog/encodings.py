@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.catalog.codes import python_functions
+from corpusloom.catalog.codes import FUNCTION_ROWS_SQL, python_files, python_functions
 from corpusloom.catalog.common import documents, draw32_sql
 from corpusloom.functions.seeded import KEY_SPAN
 from corpusloom.functions.text import split_whitespace
 from corpusloom.operators.bpe import byte_symbols, pretoken_counts, special_vocab, symbol_pair_counts, train_bpe
 from corpusloom.operators.encoding import decode_ids, encode_bpe, frame_template, pad_to, truncate_frame
+from corpusloom.operators.python_code import extract_python_functions
+from corpusloom.plans.from_files import functions_from_csv
 from corpusloom.plans.training_examples import finetuning_examples, pretraining_examples
 from corpusloom.scratch import scratch_path
-from corpusloom.sources.results import read_tokenizer_tables, write_tokenizer_tables
+from corpusloom.sources.results import read_tokenizer_tables, write_function_csv, write_tokenizer_tables
 from corpusloom.sources.tables import read_table
 
 VOCAB_SIZE = 256  # leaves room for some 150 merges beyond the special tokens and the bytes in use
@@ -54,10 +56,20 @@ def _tables(spark, sf):
 
 
 def _encode(spark, sf):
-    """Encoded and decoded again; the leading space that encoding adds stays."""
+    """Ids, and the text decoded again; the leading space that encoding adds stays."""
     tokenizer = _tokenizer(spark, sf)
     encoded = encode_bpe(documents(spark, sf, "doc_id", "text"), tokenizer, {"text": "ids"})
-    return decode_ids(encoded, tokenizer, "ids", "decoded").select("doc_id", "decoded")
+    decoded = decode_ids(encoded, tokenizer, "ids", "decoded")
+    return decoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"), "decoded")
+
+
+def _encode_functions(spark, sf):
+    """Functions written as CSV, read from the path and encoded."""
+    path = scratch_path(spark, "functions")
+    write_function_csv(extract_python_functions(python_files(spark, sf)), path)
+    rows = functions_from_csv(spark, path)
+    encoded = encode_bpe(rows, _tokenizer(spark, sf), {"source": "ids"})
+    return encoded.select("file", "function_name", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"))
 
 
 def _pretraining(spark, sf):
@@ -115,6 +127,7 @@ QUERIES = {
     "train_bpe": _train,
     "tokenizer_tables": _tables,
     "encode_bpe": _encode,
+    "encode_functions_from_csv": _encode_functions,
     "pretraining_examples": _pretraining,
     "finetuning_examples": _finetuning,
     "frame_template": _frame,
@@ -124,10 +137,11 @@ QUERIES = {
 
 # DuckDB's patterns cannot look ahead. A control character put before the last blank of each run
 # in front of a word gives the same words.
-_WORDS = r"""words AS (
-  SELECT unnest(regexp_extract_all(
+_SPLIT = r"""regexp_extract_all(
     regexp_replace(CASE WHEN regexp_matches(text, '^\s') THEN text ELSE ' ' || text END, '(\s+)(\s)(\S)', '\1' || chr(1) || '\2\3', 'g'),
-    '''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+')) AS word FROM documents),
+    '''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}\x01]+|\s+')"""
+_WORDS = f"""words AS (
+  SELECT unnest({_SPLIT}) AS word FROM documents),
   counts AS (SELECT word, count(*) AS c FROM words GROUP BY word)"""
 _BYTES = """bytes AS (SELECT word, c, list_transform(range(0, length(hex(encode(word)))::BIGINT // 2),
     lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::INTEGER) AS b FROM counts),
@@ -162,6 +176,21 @@ _TOKS = r"list_transform(list_filter(string_split_regex(text, '[ \t\r\n]+'), lam
 _CONDITIONS = """['x > ' || n_chars, 'lang == ' || chr(34) || lang || chr(34), 'y in (' || chr(34) || source || chr(34) || ',)']"""
 _N_WORDS = r"len(list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> ''))"
 
+def _encoded(table: str) -> str:
+    """CTE ``encoded(key, ids)`` for a table ``(key, text)``: every merge in turn, on each distinct word."""
+    return f"""pieces AS MATERIALIZED (SELECT key, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT key, {_SPLIT} AS w FROM {table})),
+  piece_bytes AS (SELECT word, list_transform(range(0, length(hex(encode(word)))::BIGINT // 2),
+    lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::INTEGER) AS b FROM (SELECT DISTINCT word FROM pieces)),
+  piece_symbols AS (SELECT word, array_to_string(list_transform(b, lambda x: chr(CASE WHEN x <= 32 THEN 256 + x
+    WHEN x BETWEEN 127 AND 160 THEN 256 + x - 94 WHEN x = 173 THEN 323 ELSE x END)), '') AS symbols FROM piece_bytes),
+  redo AS (SELECT list(made || pair ORDER BY rank) AS steps FROM merges),
+  merged AS MATERIALIZED (SELECT word, list_reduce(list_concat([list_aggregate(list_filter(list_transform(string_split(symbols, ''),
+      lambda ch: CASE WHEN contains(old, ch) THEN translate(ch, old, new) ELSE chr(983043) END), lambda x: x <> ''), 'string_agg', '')], steps),
+      lambda a, x: replace(a, x[2:], x[1])) AS w FROM piece_symbols, redo, letters),
+  encoded AS (SELECT key, string_agg(array_to_string(list_transform(string_split(w, ''), lambda ch: (ord(ch) - 983040)::VARCHAR), ' '), ' ' ORDER BY pos) AS ids
+    FROM pieces JOIN merged USING (word) GROUP BY key)"""
+
+
 ORACLES = {
     "pretoken_counts": f"WITH {_WORDS} SELECT word, c FROM counts",
     "byte_level_words": f"WITH {_WORDS}, {_BYTES} SELECT symbols, c FROM coded",
@@ -177,7 +206,11 @@ ORACLES = {
       SELECT ch AS token, id::INTEGER AS id FROM alphabet
       UNION ALL SELECT {_spelled('l || r')}, (5 + n + rank)::INTEGER FROM sides, undo, letters
       UNION ALL SELECT * FROM (VALUES ('<pad>', 0), ('<s>', 1), ('</s>', 2), ('<unk>', 3), ('<mask>', 4)) s(token, id)""",
-    "encode_bpe": r"SELECT doc_id, CASE WHEN regexp_matches(text, '^\s') THEN text ELSE ' ' || text END AS decoded FROM documents",
+    "encode_bpe": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}, keyed AS (SELECT doc_id AS key, text FROM documents), {_encoded('keyed')}
+      SELECT doc_id, ids, CASE WHEN regexp_matches(text, '^\\s') THEN text ELSE ' ' || text END AS decoded FROM documents JOIN encoded ON key = doc_id""",
+    "encode_functions_from_csv": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}, {FUNCTION_ROWS_SQL},
+      keyed AS (SELECT file || ' ' || function_name AS key, source AS text FROM functions), {_encoded('keyed')}
+      SELECT file, function_name, ids FROM functions JOIN encoded ON key = file || ' ' || function_name""",
     "pretraining_examples": f"""SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} < {0.1 * KEY_SPAN} THEN 'test' ELSE 'train' END AS split,
       true AS input_fits, true AS labels_fit, true AS mask_fits, true AS has_mask FROM documents WHERE {_N_WORDS} >= 3""",
     "finetuning_examples": f"""SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} >= {0.2 * KEY_SPAN} THEN 'train'

@@ -6,16 +6,19 @@ from pyspark.sql import functions as F
 
 from corpusloom.catalog.codes import ORACLES as CODE_ORACLES, java_files, python_files
 from corpusloom.catalog.common import TURN_SEQS, document_sequences, documents, turn_sequences, windows_sql
-from corpusloom.catalog.ngrams import K, ORDERS, ORACLES as NGRAM_ORACLES
+from corpusloom.catalog.ngrams import K, ORDERS, ORACLES as NGRAM_ORACLES, nll_sql
 from corpusloom.catalog.texts import ORACLES as TEXT_ORACLES, _evaluate
 from corpusloom.operators.ngram_counts import pair_counts
 from corpusloom.operators.ngram_scores import best_order
 from corpusloom.operators.python_code import decode_utf8_ignore, extract_python_functions
 from corpusloom.operators.sequences import load_sequences
-from corpusloom.plans.ngram_experiment import validation_sweep
+from corpusloom.plans.from_files import sequences_from_csv
+from corpusloom.plans.java_corpus import METHOD_COLUMNS
+from corpusloom.plans.ngram_experiment import test_perplexity, validation_sweep
 from corpusloom.scratch import scratch_path
 from corpusloom.sources.escaped_csv import read_escaped_csv, write_escaped_csv
 from corpusloom.sources.quoted_csv import read_quoted_csv, write_quoted_csv
+from corpusloom.sources.tables import read_table
 from corpusloom.sources.results import write_best_config, write_eval_csv, write_function_csv, write_metrics
 from corpusloom.sources.trees import commit_files, read_repo_list, scan_source_tree, source_texts
 from corpusloom.streaming.counts import read_streamed_counts, stream_pair_counts
@@ -53,6 +56,20 @@ def _escaped_tokens(spark, sf):
     return seqs.select("seq_id", F.array_join("tokens", "|").alias("tokens"))
 
 
+def _csv_perplexity(spark, sf):
+    """Training and test sequences through method CSVs, then the perplexity of the test set."""
+    folders = []
+    for name, table, key in (("train", documents(spark, sf, "doc_id", "text"), "doc_id"), ("test", read_table(spark, sf, "benchmark"), "item_id")):
+        tokens = F.regexp_replace("text", "[ \t\r\n]+", ", ")
+        blank = {c: F.lit("") for c in METHOD_COLUMNS if c not in ("code_tokens", "file_path")}
+        rows = table.select(F.col(key).cast("string").alias("file_path"), tokens.alias("code_tokens")).withColumns(blank)
+        folders.append(scratch_path(spark, name))
+        write_escaped_csv(rows.select(*METHOD_COLUMNS), folders[-1])
+    train, test = (sequences_from_csv(spark, f) for f in folders)
+    found = test_perplexity(train, test, ORDERS, K)
+    return found.select("n", F.round(F.ln("perplexity"), 6).alias("mean_nll"))
+
+
 def _quoted(spark, sf):
     path = scratch_path(spark, "quoted")
     write_quoted_csv(_awkward(spark, sf).withColumn("text", F.replace("text", F.lit("\r"), F.lit(""))), path)
@@ -127,6 +144,7 @@ QUERIES = {
     "escaped_csv_round_trip": _escaped,
     "escaped_csv_headers": _escaped_headers,
     "escaped_csv_sequences": _escaped_tokens,
+    "csv_perplexity": _csv_perplexity,
     "quoted_csv_round_trip": _quoted,
     "scan_source_tree": _tree,
     "decode_utf8_ignore": _decode,
@@ -142,6 +160,11 @@ QUERIES = {
 _MIXED = "text || ', \"q\" ' || chr(92) || ' ' || chr(13) || chr(10) || lang || chr(13) || ',' || chr(10) || source"
 _LANG = "CASE WHEN doc_id % 2 = 0 THEN lang ELSE '' END AS lang"
 
+def _csv_seqs(name: str, table: str, key: str) -> str:
+    toks = r"list_filter(string_split_regex(text, '[ \t\r\n]+|,'), lambda x: x <> '')"
+    return f"{name} AS (SELECT {key} AS seq_id, {toks} AS toks FROM {table} WHERE len({toks}) > 0)"
+
+
 ORACLES = {
     "escaped_csv_round_trip": f"SELECT doc_id, {_MIXED} AS text, {_LANG} FROM documents",
     "escaped_csv_headers": """SELECT CASE doc_id % 5 WHEN 0 THEN 'text' WHEN 1 THEN '' WHEN 2 THEN '' ELSE text END AS text, count(*) AS n
@@ -149,6 +172,9 @@ ORACLES = {
     "escaped_csv_sequences": r"""WITH parts AS (SELECT doc_id AS seq_id,
         list_filter(list_transform(string_split_regex(text, '[ \n]+|,'), lambda x: trim(x)), lambda x: x <> '') AS toks FROM documents)
       SELECT seq_id, array_to_string(toks, '|') AS tokens FROM parts WHERE len(toks) > 0""",
+    "csv_perplexity": f"""WITH {_csv_seqs('doc_seqs', 'documents', 'doc_id')}, {_csv_seqs('bench_seqs', 'benchmark', 'item_id')},
+      {", ".join(nll_sql(f"t{n}", "doc_seqs", "bench_seqs", n, K) for n in ORDERS)}
+      {" UNION ALL ".join(f"SELECT n::INTEGER AS n, round(mean_nll, 6) AS mean_nll FROM t{n}" for n in ORDERS)}""",
     "quoted_csv_round_trip": f"SELECT doc_id, replace({_MIXED}, chr(13), '') AS text, {_LANG} FROM documents",
     "scan_source_tree": "SELECT 'source=' || source AS repo, sum(length(text) + 1)::BIGINT AS n_chars FROM documents GROUP BY source",
     "decode_utf8_ignore": "SELECT doc_id, text || lang AS text FROM documents",

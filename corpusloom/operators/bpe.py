@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.scratch import settle
-from corpusloom.sources.tables import spread_small
 
 # Fixed values.
 SPECIAL_TOKENS = ["<pad>", "<s>", "</s>", "<unk>", "<mask>"]
@@ -140,7 +139,8 @@ def train_bpe(
     names = [*special_tokens, *alphabet]  # at most 256 symbols follow the special tokens
     ids = {name: i for i, name in enumerate(names)}
     coded = F.translate("symbols", "".join(alphabet), "".join(_symbol(ids[a]) for a in alphabet))
-    words = settle(spread_small(words.select(coded.alias("symbols"), "c").filter(F.length("symbols") > 1), "symbols"))
+    # Distinct words only, so this moves little; one small file would keep one core busy.
+    words = settle(words.select(coded.alias("symbols"), "c").filter(F.length("symbols") > 1).repartition("symbols"))
 
     merges, pending = [], []
     while len(names) < vocab_size:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from corpusloom.operators.bpe import Tokenizer, train_bpe
+from corpusloom.operators.bpe import EXTRA_IDS, SPECIAL_TOKENS, Tokenizer, special_vocab, train_bpe
 from corpusloom.operators.encoding import encode_bpe, model_inputs
 from corpusloom.operators.masking import coalesce_text, mask_if_condition, mask_random_tokens
 from corpusloom.operators.python_code import extract_python_functions
@@ -23,7 +23,9 @@ def learn_tokenizer(functions: DataFrame, vocab_size: int = 32_000, min_frequenc
 
 
 def _encoded(masked: DataFrame, tokenizer: Tokenizer, max_input: int, max_target: int, pad: bool) -> DataFrame:
-    encoded = encode_bpe(masked, tokenizer, {"input_text": "_input", "target_text": "_target"})
+    # The sentinels are tokens of their own, behind the vocabulary learned.
+    widened = Tokenizer(special_vocab(tokenizer.vocab), tokenizer.merges)
+    encoded = encode_bpe(masked, widened, {"input_text": "_input", "target_text": "_target"}, [*SPECIAL_TOKENS, *EXTRA_IDS])
     return model_inputs(encoded, "_input", "_target", max_input, max_target, pad).drop("_input", "_target")
 
 

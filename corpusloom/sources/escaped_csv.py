@@ -13,7 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from corpusloom.sources.row_ids import with_file_ids
 
 _RECORD_END = "\r\n"
 _QUOTED = r'"(?:[^"\\]++|""|\\.)*+"'
@@ -31,27 +33,29 @@ def _fields(record: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Records ``value`` with ``file``, ``starts`` (in the block that begins the file) and ``at``, their order in it."""
+    """Records ``value`` with ``file``, ``block`` (its offset) and ``at``, their order in it."""
     lines = spark.read.option("lineSep", _RECORD_END).text(path)
     return lines.select(
-        "value", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("starts"),
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"))
 
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     records = files.select("file", F.posexplode(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1))).alias("at", "value"))
-    return records.select("value", "file", F.lit(True).alias("starts"), F.col("at").cast("bigint").alias("at"))
+    return records.select("value", "file", F.lit(0).cast("bigint").alias("block"), F.col("at").cast("bigint").alias("at"))
 
 
 def read_escaped_csv(
-    spark: SparkSession, path: str, required: Sequence[str] = (), columns: Sequence[str] | None = None
+    spark: SparkSession, path: str, required: Sequence[str] = (), columns: Sequence[str] | None = None,
+    id_col: str | None = None,
 ) -> DataFrame:
     """All columns as strings. A missing path gives an empty DataFrame; a missing required column
     raises. ``columns`` names the columns of an empty result.
 
     The first record of a file is its header if it equals that of the first file read; a later record that looks like
-    it is data. Lines without anything are no records.
+    it is data. Lines without anything are no records. ``id_col`` adds a bigint that identifies a record by its
+    file and place, ascending in file order.
     """
     try:
         first = spark.read.option("lineSep", _RECORD_END).text(path).first()
@@ -61,22 +65,26 @@ def read_escaped_csv(
         first = None
     if first is None:
         names = list(columns or required)
-        return spark.createDataFrame([], StructType([StructField(n, StringType()) for n in names]))
+        own = [StructField(id_col, LongType())] if id_col else []
+        return spark.createDataFrame([], StructType([StructField(n, StringType()) for n in names] + own))
     # A line feed in the first line that no backslash escapes: records end in LF.
     probe = spark.createDataFrame([(first[0],)], "value string")
     splits = probe.select(F.regexp_extract("value", _RECORD, 1).alias("record")).first()[0]
     lines = _lines(spark, path) if splits == first[0] else _whole(spark, path)
+    if id_col:
+        lines = with_file_ids(lines, "id", "file", "block", "at")
+    kept = ["value", "id"] if id_col else ["value"]
     names = probe.select(_fields(F.lit(splits))).first()[0]
     missing = [c for c in required if c not in names]
     if missing:
         raise ValueError(f"{path} must contain the columns {missing}")
-    is_header = (F.col("value") == F.lit(splits)) & F.col("starts")
+    is_header = (F.col("value") == F.lit(splits)) & (F.col("block") == 0)
     # Only records that equal the header are put in order, to find the one that begins each file.
     nth = F.row_number().over(Window.partitionBy("file").orderBy("at"))
-    alike = lines.filter(is_header).withColumn("nth", nth).filter("nth > 1").select("value")
-    records = lines.filter(~is_header & (F.col("value") != "")).select("value").unionByName(alike)
-    fields = records.select(_fields(F.col("value")).alias("f"))
-    return fields.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    alike = lines.filter(is_header).withColumn("nth", nth).filter("nth > 1").select(*kept)
+    records = lines.filter(~is_header & (F.col("value") != "")).select(*kept).unionByName(alike)
+    fields = records.select(_fields(F.col("value")).alias("f"), *kept[1:])
+    return fields.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)], *[F.col(k).alias(id_col) for k in kept[1:]])
 
 
 def _escape_name(name: str) -> str:
