@@ -90,7 +90,23 @@ QUERIES = {
     "op10_projection_search": op10_projection_search,
 }
 
+# CRC-32, byte by byte, by the table of its polynomial.
+_CRC = """steps AS MATERIALIZED (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_concat([i], range(0, 8)),
+        lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t),
+      codes AS (SELECT doc_id, list_transform(list_filter(string_split(coalesce(text, ''), ''), lambda ch: ch <> ''), lambda ch: ord(ch)::BIGINT) AS o
+        FROM documents),
+      bytes AS (SELECT doc_id, flatten(list_transform(o, lambda u: CASE WHEN u < 128 THEN [u] WHEN u < 2048 THEN [192 | (u >> 6), 128 | (u & 63)]
+        WHEN u < 65536 THEN [224 | (u >> 12), 128 | ((u >> 6) & 63), 128 | (u & 63)]
+        ELSE [240 | (u >> 18), 128 | ((u >> 12) & 63), 128 | ((u >> 6) & 63), 128 | (u & 63)] END)) AS b FROM codes),
+      sized AS (SELECT doc_id, len(b) + 1 AS size, xor(list_reduce(list_concat([4294967295::BIGINT], b),
+        lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) AS text_crc32 FROM bytes, steps)"""
+
 ORACLES = {
+    "op4_sharding": f"""WITH {_CRC},
+      placed AS (SELECT *, sum(size) OVER w AS up_to, sum(size) OVER () AS total, row_number() OVER w AS nth FROM sized
+        WINDOW w AS (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING)),
+      cut AS (SELECT *, ((2 * up_to - size) * 8 // (2 * total))::INTEGER AS shard FROM placed)
+      SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, nth - min(nth) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard FROM cut""",
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
