@@ -11,10 +11,10 @@ from corpusloom.operators.sequences import load_sequences
 from corpusloom.plans.java_corpus import mine_java_methods
 from corpusloom.plans.ngram_experiment import Selected, run_experiment
 from corpusloom.plans.training_examples import finetuning_examples, function_corpus, learn_tokenizer, pretraining_examples
-from corpusloom.scratch import settle
+from corpusloom.scratch import scratch_scope, settle
 from corpusloom.sources.escaped_csv import read_escaped_csv, write_escaped_csv
 from corpusloom.sources.quoted_csv import read_quoted_csv
-from corpusloom.sources.results import write_function_csv, write_tokenizer_tables
+from corpusloom.sources.results import read_tokenizer_tables, write_function_csv, write_tokenizer_tables
 from corpusloom.sources.trees import scan_source_tree
 
 
@@ -52,9 +52,11 @@ def examples_from_csv(
 ) -> Tokenizer:
     """Tokenizer, pre-training and fine-tuning examples of a function CSV, as tables below ``out``."""
     functions = settle(functions_from_csv(spark, path))
-    tokenizer = learn_tokenizer(functions, vocab_size, min_frequency)
-    write_tokenizer_tables(tokenizer, f"{out}/tokenizer")
-    pretraining_examples(functions, "id", tokenizer, n_rows, seed).write.parquet(f"{out}/pretraining")
-    with_ifs = functions.filter("cast(num_if as int) > 0").withColumnRenamed("source", "code")
-    finetuning_examples(with_ifs, "id", tokenizer, seed).write.parquet(f"{out}/finetuning")
+    with scratch_scope(spark):
+        write_tokenizer_tables(learn_tokenizer(functions, vocab_size, min_frequency), f"{out}/tokenizer")
+    tokenizer = read_tokenizer_tables(spark, f"{out}/tokenizer")
+    with scratch_scope(spark):
+        pretraining_examples(functions, "id", tokenizer, n_rows, seed).write.parquet(f"{out}/pretraining")
+        with_ifs = functions.filter("cast(num_if as int) > 0").withColumnRenamed("source", "code")
+        finetuning_examples(with_ifs, "id", tokenizer, seed).write.parquet(f"{out}/finetuning")
     return tokenizer

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,8 +25,30 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside when it ends.
+
+    For work that writes its result to a place of its own; a DataFrame that is returned unread still
+    needs its tables.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for made in _scopes.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(made)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

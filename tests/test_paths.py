@@ -68,3 +68,16 @@ def test_examples_from_paths(spark, tmp_path):
     assert sorted(i for r in tuned for i in r.input_ids if i >= size) == [size + i for i in range(12)]
     assert len(EXTRA_IDS) == 100
     assert spark.read.parquet(f"{out}/pretraining").count() == 12
+
+
+def test_scope_removes_its_tables_only(spark):
+    from pathlib import Path
+
+    from corpusloom.scratch import scratch_scope, settle
+
+    outer = settle(spark.range(3))
+    with scratch_scope(spark):
+        inner = settle(spark.range(4))
+        files = [Path(f.removeprefix("file://")) for f in inner.inputFiles()]
+        assert inner.count() == 4 and all(f.exists() for f in files)
+    assert not any(f.exists() for f in files) and outer.count() == 3
