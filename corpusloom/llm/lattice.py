@@ -7,10 +7,14 @@ is no piece has the arc of its UTF-8 bytes, so every word has a probability.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+
+import numpy as np
 
 SPACE = "▁"  # stands before every word, as in the vocabulary
 PREFIX = math.inf  # of an entry that is only the beginning of pieces
+TOGETHER = 8_192  # words of one length that are worked on at once,
+LONGEST = 40  # up to this length; longer ones go one by one
 
 
 class Vocabulary:
@@ -138,3 +142,109 @@ class Lattice:
                         else:
                             uses[piece] += share
         return uses
+
+    def _tree(self) -> None:
+        """The pieces as a tree of characters, its edges in a hash table of (node, character)."""
+        nodes, edges = {"": 0}, []
+        for text in sorted(self.arcs, key=len):
+            nodes[text] = len(nodes)
+            edges.append((nodes[text[:-1]] << 21 | ord(text[-1]), nodes[text]))
+        self.node_log, self.node_piece = np.full(len(nodes), -np.inf), np.full(len(nodes), -1)
+        for piece, i in self.vocabulary.ids.items():
+            self.node_log[nodes[piece]] = self.arcs[piece]
+            self.node_piece[nodes[piece]] = i
+        bits = max(10, (4 * len(edges)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.edge_key, self.edge_to = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        keys = np.array([k for k, _ in edges], np.int64)
+        for (key, to), at in zip(edges, self._slot(keys).tolist()):
+            while self.edge_key[at] >= 0:
+                at = (at + 1) & ((1 << bits) - 1)
+            self.edge_key[at], self.edge_to[at] = key, to
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _follow(self, node: np.ndarray, chars: np.ndarray) -> np.ndarray:
+        """The node behind each (node, character); -1 where there is none."""
+        keys = node << 21 | chars
+        at, out = self._slot(keys), np.full(len(keys), -1)
+        open_ = np.arange(len(keys))
+        while len(open_):
+            found = self.edge_key[at[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.edge_to[at[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+            at[open_] = (at[open_] + 1) & (len(self.edge_key) - 1)
+        return out
+
+    def _together(self, words: Sequence[str]) -> tuple[np.ndarray, list[tuple]]:
+        """``forward`` for words of one length: node log-probabilities, a row each, and arcs as
+        (start, end, rows, log-probabilities, pieces or None for bytes)."""
+        if not hasattr(self, "edge_key"):
+            self._tree()
+        n = len(words[0]) + 1
+        codes = np.frombuffer("".join([SPACE + w for w in words]).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n).astype(np.int64)
+        node, arcs = np.full((len(words), n + 1), -np.inf), []
+        node[:, 0] = 0.0
+        for i in range(n):
+            rows, place = np.arange(len(words)), np.zeros(len(words), np.int64)
+            for j in range(i + 1, n + 1):
+                place = self._follow(place, codes[rows, j - 1])
+                log = np.where(place >= 0, self.node_log[place], -np.inf)
+                some = log > -np.inf
+                if j == i + 1 and not some.all():
+                    bare = rows[~some]
+                    chars, back = np.unique(codes[bare, i], return_inverse=True)
+                    arcs.append((i, j, bare, np.array([self._by_bytes(chr(c)) for c in chars.tolist()])[back], None))
+                if some.any():
+                    arcs.append((i, j, rows[some], log[some], self.node_piece[place[some]]))
+                inside = place >= 0
+                rows, place = rows[inside], place[inside]
+                if not len(rows):
+                    break
+            for _, j, own, log, _ in (a for a in arcs[::-1] if a[0] == i):
+                node[own, j] = np.logaddexp(node[own, j], node[own, i] + log)
+        return node, arcs
+
+    def _by_length(self, words: Sequence[str]):
+        """Places of the words of one length, some at a time; first those that go one by one."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        yield np.flatnonzero(lengths > LONGEST), False
+        for n in np.unique(lengths[lengths <= LONGEST]):
+            own = np.flatnonzero(lengths == n)
+            for at in range(0, len(own), TOGETHER):
+                yield own[at:at + TOGETHER], True
+
+    def log_probabilities(self, words: Sequence[str]) -> np.ndarray:
+        """``log_probability`` of many words."""
+        out = np.zeros(len(words))
+        for own, together in self._by_length(words):
+            if together:
+                out[own] = self._together([words[i] for i in own])[0][:, -1]
+            else:
+                out[own] = [self.log_probability(words[i]) for i in own]
+        return out
+
+    def expect_many(self, words: Sequence[str], times: Sequence[int]) -> np.ndarray:
+        """``expect`` of many words."""
+        times, uses = np.asarray(times, np.float64), np.zeros(self.vocabulary.size)
+        for own, together in self._by_length(words):
+            if not together:
+                uses += self.expect((words[i], int(times[i])) for i in own)
+                continue
+            some = [words[i] for i in own]
+            node, arcs = self._together(some)
+            back = np.full_like(node, -np.inf)
+            back[:, -1] = 0.0
+            for i, j, rows, log, pieces in sorted(arcs, key=lambda a: -a[0]):
+                way = log + back[rows, j]
+                back[rows, i] = np.logaddexp(back[rows, i], way)
+                share = np.exp(node[rows, i] + way - node[rows, -1]) * times[own[rows]]
+                if pieces is not None:
+                    uses += np.bincount(pieces, weights=share, minlength=len(uses))
+                    continue
+                for row, value in zip(rows.tolist(), share.tolist()):
+                    for b in (SPACE + some[row])[i].encode("utf-8", "surrogatepass"):
+                        uses[self.vocabulary.byte_ids[b]] += value
+        return uses

@@ -71,7 +71,7 @@ def expected_uses(words: DataFrame, path: str, probability: list[float]) -> np.n
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, uses = Lattice(_vocabulary(path), sent.value), 0.0
         for batch in batches:
-            uses = uses + np.array(lattice.expect(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())))
+            uses = uses + lattice.expect_many(batch.column(0).to_pylist(), batch.column(1).to_numpy())
         some = np.flatnonzero(uses) if isinstance(uses, np.ndarray) else np.zeros(0, int)
         yield pa.RecordBatch.from_arrays(
             [pa.array(some.astype(np.int32)), pa.array(uses[some] if len(some) else np.zeros(0))], names=["piece", "uses"])
@@ -101,7 +101,7 @@ def with_lattice(words: DataFrame, path: str, probability: list[float]) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(_vocabulary(path), sent.value)
         for batch in batches:
-            logs = [lattice.log_probability(w) / LOG10 for w in batch.column(0).to_pylist()]
+            logs = lattice.log_probabilities(batch.column(0).to_pylist()) / LOG10
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(logs, pa.float64())], names=["word", "c", "uses", "lattice"])
 
     return words.select("word", "c", "uses").mapInArrow(run, "word string, c long, uses long, lattice double")

@@ -163,6 +163,15 @@ def test_lattice_by_enumeration(vocabulary):
         assert math.isclose(sum(uses), sum(expected.values()), rel_tol=1e-6)
 
 
+def test_many_words_are_as_one_by_one(vocabulary):
+    draw = random.Random(12)
+    lattice = Lattice(vocabulary, vocabulary.prior)
+    words = ["".join(draw.choice("theandingsßé漢x▁😀") for _ in range(draw.randint(0, 45))) for _ in range(400)]
+    assert np.allclose(lattice.log_probabilities(words), [lattice.log_probability(w) for w in words], rtol=1e-12)
+    times = [draw.randint(1, 9) for _ in words]
+    assert np.allclose(lattice.expect_many(words, times), lattice.expect(zip(words, times)), rtol=1e-6, atol=1e-9)
+
+
 def test_a_very_long_word_has_a_finite_score(vocabulary):
     assert -math.inf < Lattice(vocabulary, vocabulary.prior).log_probability("ab" * 5000) < -1000
 
