@@ -80,3 +80,17 @@ def test_lookup_with_hot_keys(spark, monkeypatch, hot):
         assert {r.id: r.v for r in got} == want and len(got) == 300
         kept = keep_members(rows, values.select("k"), "k").collect()
         assert {r.id for r in kept} == {i for i, v in want.items() if v is not None}
+
+
+@pytest.mark.parametrize("n_wanted", [1, 500, 10**12])
+def test_probable_keys_hold_all_wanted(spark, n_wanted):
+    from corpusloom.operators.skew import keep_probable
+
+    rows = spark.range(20_000).selectExpr("id % 2000 as a", "id % 7 as b", "id as v")
+    wanted = spark.range(300).selectExpr("id * 3 as a", "id % 7 as b")
+    got = keep_probable(rows, wanted, ["a", "b"], n_wanted)
+    exact = rows.join(wanted, ["a", "b"], "left_semi")
+    assert got.columns == rows.columns and exact.exceptAll(got).count() == 0 and got.exceptAll(rows).count() == 0
+    if n_wanted > 1:
+        assert got.count() < exact.count() + 2_000
+    assert keep_probable(rows, wanted.limit(0), ["a", "b"], 0).count() == 0
