@@ -120,11 +120,11 @@ def test_merging_by_heap_is_merging_by_rank():
 
 
 def test_root_is_a_prefix_not_a_part(spark, tmp_path):
-    for folder in ("myrepos/kafka", "repos/spark"):
+    for folder in ("myrepos/alpha", "repos/beta"):
         (tmp_path / folder / "repos/deep").mkdir(parents=True)
         (tmp_path / folder / "repos/deep/a.py").write_text("x = 1\n")
     found = scan_source_tree(spark, str(tmp_path / "myrepos")).collect()
-    assert [(r.repo, r.file) for r in found] == [("kafka", "kafka/repos/deep/a.py")]
+    assert [(r.repo, r.file) for r in found] == [("alpha", "alpha/repos/deep/a.py")]
 
 
 def test_mining_takes_long_literals(spark):
