@@ -74,7 +74,7 @@ def _encode_functions(spark, sf):
 
 def _pretraining(spark, sf):
     docs = documents(spark, sf, "doc_id", "text").withColumnRenamed("text", "source")
-    examples = pretraining_examples(docs, "doc_id", _tokenizer(spark, sf), 150_000)
+    examples = pretraining_examples(docs, "doc_id", _tokenizer(spark, sf))
     return examples.select(
         "doc_id", "split", (F.size("input_ids") <= 512).alias("input_fits"), (F.size("labels") <= 256).alias("labels_fit"),
         (F.size("attention_mask") == F.size("input_ids")).alias("mask_fits"),

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.catalog import encodings
 from corpusloom.operators import bpe, encoding
 from corpusloom.operators.bpe import SPECIAL_TOKENS
 from corpusloom.operators.evaluation import evaluate_predictions, summarize
@@ -97,6 +98,15 @@ def test_examples(spark):
     assert all(r.input_text.replace("<mask>", r.target_text, 1) == code.format(r.id) for r in fine)
 
 
+def test_pretraining_query_takes_all_rows(spark, corpus, monkeypatch):
+    n = 150_003
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text"))
+    tokenizer = bpe.train_bpe(corpus, 300)
+    monkeypatch.setattr(encodings, "documents", lambda *_: docs)
+    monkeypatch.setattr(encodings, "_tokenizer", lambda *_: tokenizer)
+    assert encodings.QUERIES["pretraining_examples"](spark, "").count() == n
+
+
 def test_evaluation(spark):
     rows = [("i", " a ", "a\n", 0.0), ("i", "a", "b", None), ("i", "a", "a", -1.0)]
     df = spark.createDataFrame(rows, "input_text string, target_text string, pred_text string, seq_log_score double")
