@@ -29,6 +29,7 @@ CLOSED_BY = {
 BARRIER = {"li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"])}
 TABLE = frozenset(["table"])
 
+_RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
 _TAG = re.compile(r"(/?)([a-zA-Z][^\s/>\x00]*)")
 _ATTR = re.compile(r"""[\s/]*([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 
@@ -121,7 +122,7 @@ class _Reader:
                 return  # a link or emphasis does not end the block around it
 
     def run(self) -> list[Block]:
-        page, at, size, folded = self.page, 0, len(self.page), None
+        page, at, size = self.page, 0, len(self.page)
         while at < size:
             mark = page.find("<", at)
             if mark < 0:
@@ -163,9 +164,8 @@ class _Reader:
                 continue
             self.start(tag, tuple(names), hidden, closed and tag in ("svg", "math"))
             if tag in RAW and not (closed and tag in ("svg", "math")):
-                folded = page.lower() if folded is None and len(page) == len(page.lower()) else folded if folded is not None else page
-                stop = folded.find("</" + tag, at)
-                at = size if stop < 0 else stop
+                stop = _RAW_END[tag].search(page, at)
+                at = stop.start() if stop else size
         self.flush()
         return self.blocks
 

@@ -79,6 +79,12 @@ def test_leaf_blocks_of_broken_pages():
     assert leaf_blocks("<div>" * 5000 + "deep")[0].text == "deep"
 
 
+@pytest.mark.parametrize("tag", ["script", "style", "noscript", "title"])
+def test_raw_elements_end_in_any_case_beside_letters_that_fold_longer(tag):
+    page = f"<p>\u0130stanbul</p><{tag}>a < b \u0130</{tag.upper()}><p>article</p><{tag}>c</{tag.title()}><p>end</p>"
+    assert [b.text for b in leaf_blocks(page)] == ["\u0130stanbul", "article", "end"]
+
+
 def test_marginals_and_viterbi_by_enumeration():
     draw = random.Random(2)
     for n in (1, 2, 5):
