@@ -155,3 +155,17 @@ def test_stages(spark):
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_dedup_takes_edited_copies(spark):
+    """Copies at five-word similarity 0.8 or more, which four differing bits miss."""
+    draw = random.Random(6)
+    rows, n_groups = [], 25
+    for g in range(n_groups):
+        base = [f"g{g}w{draw.randrange(10_000)}" for _ in range(200)]
+        rows.append((10 * g, " ".join(base)))
+        for i, at in enumerate((40, 120)):
+            rows.append((10 * g + 1 + i, " ".join([*base[:at], "edited", *base[at + 1:]])))
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string")
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs.repartition(3), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [10 * g for g in range(n_groups)]
