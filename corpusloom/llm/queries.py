@@ -10,6 +10,7 @@ from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.crf_extract import extract_text
 from corpusloom.llm.lattice_lm import score_texts
+from corpusloom.llm.merkle import folded, merkle_manifest, record_digest
 from corpusloom.llm.mixing import mix_sources
 from corpusloom.llm.mixture_langid import fold, learn, predict
 from corpusloom.llm.projection_knn import nearest_neighbours
@@ -77,6 +78,19 @@ def op10_projection_search(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
+    tampered = record_digest(*(fields | {"n_chars": F.col("n_chars") + 1}).values())
+    meant = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    manifest = merkle_manifest(docs, record_digest(*fields.values()), carry=[("tampered", F.when(meant, tampered))])
+    siblings = F.transform(F.concat("path", "top_path"), lambda step: step["digest"])
+    checked = manifest.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("path"), F.col("top_path")))
+    return checked.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(siblings, ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
@@ -88,11 +102,13 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_projection_search": op10_projection_search,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 # CRC-32, byte by byte, by the table of its polynomial.
-_CRC = """steps AS MATERIALIZED (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_concat([i], range(0, 8)),
-        lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t),
+_STEPS = """steps AS MATERIALIZED (SELECT list_transform(range(0, 256), lambda i: list_reduce(list_concat([i], range(0, 8)),
+        lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t)"""
+_CRC = f"""{_STEPS},
       codes AS (SELECT doc_id, list_transform(list_filter(string_split(coalesce(text, ''), ''), lambda ch: ch <> ''), lambda ch: ord(ch)::BIGINT) AS o
         FROM documents),
       bytes AS (SELECT doc_id, flatten(list_transform(o, lambda u: CASE WHEN u < 128 THEN [u] WHEN u < 2048 THEN [192 | (u >> 6), 128 | (u & 63)]
@@ -111,4 +127,28 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op13_merkle_manifest": f"""WITH RECURSIVE {_STEPS},
+      numbered AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+        lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) % 7 = 0 AS changed FROM documents, steps),
+      said AS (SELECT doc_id, lang, changed, {", ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-') AS {n}" for c, n in (
+          ("doc_id", "f1"), ("source", "f2"), ("lang", "f3"), ("n_chars", "f4"), ("(n_chars + 1)", "f4t"), ("text", "f5")))} FROM numbered),
+      leaves AS (SELECT doc_id, lang, sha256(f1 || f2 || f3 || f4 || f5) AS leaf,
+        sha256(f1 || f2 || f3 || CASE WHEN changed THEN f4t ELSE f4 END || f5) AS given FROM said),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves),
+      tree AS (SELECT lang, 0 AS lvl, list(leaf ORDER BY r) AS d FROM placed GROUP BY lang
+        UNION ALL SELECT lang, lvl + 1, list_transform(range(0, (len(d) + 1) // 2), lambda i: sha256(d[2 * i + 1] || coalesce(d[2 * i + 2], ''))) FROM tree WHERE len(d) > 1),
+      tops AS (SELECT lang, d[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS r FROM tree WHERE len(d) = 1),
+      crown AS (SELECT 0 AS lvl, list(subroot ORDER BY r) AS d FROM tops
+        UNION ALL SELECT lvl + 1, list_transform(range(0, (len(d) + 1) // 2), lambda i: sha256(d[2 * i + 1] || coalesce(d[2 * i + 2], ''))) FROM crown WHERE len(d) > 1),
+      inner_steps AS (SELECT p.lang, p.r, list(CASE WHEN (r >> lvl) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce(d[xor(r >> lvl, 1) + 1], '') ORDER BY lvl) AS s
+        FROM placed p JOIN tree t ON p.lang IS NOT DISTINCT FROM t.lang AND len(d) > 1 GROUP BY p.lang, p.r),
+      top_steps AS (SELECT lang, list(CASE WHEN (r >> lvl) & 1 = 1 THEN 'L' ELSE 'R' END || coalesce(d[xor(r >> lvl, 1) + 1], '') ORDER BY lvl) AS s
+        FROM tops, crown WHERE len(d) > 1 GROUP BY lang),
+      ways AS (SELECT p.*, subroot, (SELECT d[1] FROM crown WHERE len(d) = 1) AS root, list_concat(coalesce(i.s, []), coalesce(o.s, [])) AS s FROM placed p
+        JOIN tops t ON p.lang IS NOT DISTINCT FROM t.lang LEFT JOIN inner_steps i ON p.lang IS NOT DISTINCT FROM i.lang AND p.r = i.r
+        LEFT JOIN top_steps o ON p.lang IS NOT DISTINCT FROM o.lang)
+      SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_concat([''], list_transform(s, lambda x: x[2:])), 'string_agg', '')) AS proof_sha256,
+        list_reduce(list_concat([given], s), lambda a, x: CASE WHEN x[1] = 'L' THEN sha256(x[2:] || a) ELSE sha256(a || x[2:]) END) AS folded_root,
+        list_reduce(list_concat([given], s), lambda a, x: CASE WHEN x[1] = 'L' THEN sha256(x[2:] || a) ELSE sha256(a || x[2:]) END) = root AS verified
+      FROM ways""",
 }
