@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
+from corpusloom.llm.chat_windows import Template, chat_windows
 from corpusloom.llm.crf_extract import extract_text
 from corpusloom.llm.lattice_lm import score_texts
 from corpusloom.llm.merkle import folded, merkle_manifest, record_digest
@@ -78,6 +79,25 @@ def op10_projection_search(spark: SparkSession, folder: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
 
 
+def op11_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    template, probe = Template(), "</s>[INST] ok [/INST]"
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string"))
+    windows = chat_windows(rows, template=template)
+    fresh = F.slice(template.turns(F.col("formatted")), F.col("n_repeated") + 1, F.col("n_fresh"))
+    read = windows.select(
+        "conv_id", "span", F.explode(F.array(fresh)).alias("fresh"), F.length("formatted").cast("long").alias("n_chars"),
+        F.array_join(template.loss_texts(F.col("formatted"), F.col("loss")), "").alias("loss_text"))
+    said = F.array_join(F.transform("fresh", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    whole = read.groupBy("conv_id").agg(
+        F.sum(F.size("fresh")).cast("long").alias("n_turns"), F.sum("n_chars").alias("formatted_chars"),
+        F.sort_array(F.collect_list(F.struct("span", said.alias("said"), "loss_text"))).alias("in_order"))  # a digest needs it all
+    joined = whole.withColumn("loss_text", F.array_join("in_order.loss_text", ""))
+    return joined.select(
+        "conv_id", "n_turns", F.sha2(F.array_join("in_order.said", ""), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
@@ -102,6 +122,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_projection_search": op10_projection_search,
+    "op11_chat_windows": op11_chat_windows,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -127,6 +148,28 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op11_chat_windows": r"""WITH said AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+      sized AS (SELECT *, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\x0b\p{L}\p{N}]')) + 4 AS tokens,
+        len('<s>[INST][/INST]</s>') + list_sum(list_transform([role, text],
+          lambda x: length(replace(x, '\', '\\')) + len(regexp_extract_all(x, '</?s>|\[/?INST\]')))) AS chars FROM said),
+      line AS (SELECT *, coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER w - 1 AS at,
+        CASE WHEN first_value(role) OVER w = 'system' THEN first_value(tokens) OVER w END AS head FROM sized
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+      started AS (SELECT *, head IS NOT NULL AND at = 0 AS is_head, greatest(1024 - 256 - coalesce(head, 0), 1) AS cell_size,
+        CASE WHEN is_head THEN 0 ELSE before - coalesce(head, 0) END AS start FROM line),
+      placed AS (SELECT *, 2 * (start // cell_size) + CASE WHEN NOT is_head AND start % cell_size > 0
+        AND (start + tokens - 1) // cell_size > start // cell_size THEN 1 ELSE 0 END AS span FROM started),
+      spans AS (SELECT conv_id, span, min(start) AS opens, any_value(head) AS head FROM placed GROUP BY conv_id, span),
+      members AS (SELECT conv_id, chars FROM placed
+        UNION ALL SELECT p.conv_id, p.chars FROM placed p JOIN spans s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND NOT is_head
+          AND s.opens > p.start AND s.opens - p.start <= least(256, p.cell_size)
+        UNION ALL SELECT p.conv_id, p.chars FROM placed p JOIN spans s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND is_head AND s.span > 0),
+      written AS (SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM members GROUP BY conv_id),
+      digests AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY at) FILTER (role = 'assistant'), '') AS learned FROM placed GROUP BY conv_id)
+      SELECT d.conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars
+      FROM digests d JOIN written w ON d.conv_id IS NOT DISTINCT FROM w.conv_id""",
     "op13_merkle_manifest": f"""WITH RECURSIVE {_STEPS},
       numbered AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
         lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295::BIGINT) % 7 = 0 AS changed FROM documents, steps),
