@@ -152,11 +152,11 @@ ORACLES = {
         UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
       sized AS (SELECT *, len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\x0b\p{L}\p{N}]')) + 4 AS tokens,
         len('<s>[INST][/INST]</s>') + list_sum(list_transform([role, text],
-          lambda x: length(replace(x, '\', '\\')) + len(regexp_extract_all(x, '</?s>|\[/?INST\]')))) AS chars FROM said),
-      line AS (SELECT *, coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER w - 1 AS at,
+          lambda x: length(replace(x, '\', '\')) + len(regexp_extract_all(x, '</?s>|\[/?INST\]')))) AS chars FROM said),
+      line AS (SELECT *, coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, row_number() OVER w - 1 AS nth,
         CASE WHEN first_value(role) OVER w = 'system' THEN first_value(tokens) OVER w END AS head FROM sized
         WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-      started AS (SELECT *, head IS NOT NULL AND at = 0 AS is_head, greatest(1024 - 256 - coalesce(head, 0), 1) AS cell_size,
+      started AS (SELECT *, head IS NOT NULL AND nth = 0 AS is_head, greatest(1024 - 256 - coalesce(head, 0), 1) AS cell_size,
         CASE WHEN is_head THEN 0 ELSE before - coalesce(head, 0) END AS start FROM line),
       placed AS (SELECT *, 2 * (start // cell_size) + CASE WHEN NOT is_head AND start % cell_size > 0
         AND (start + tokens - 1) // cell_size > start // cell_size THEN 1 ELSE 0 END AS span FROM started),
@@ -166,8 +166,8 @@ ORACLES = {
           AND s.opens > p.start AND s.opens - p.start <= least(256, p.cell_size)
         UNION ALL SELECT p.conv_id, p.chars FROM placed p JOIN spans s ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND is_head AND s.span > 0),
       written AS (SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM members GROUP BY conv_id),
-      digests AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
-        coalesce(string_agg(text, '' ORDER BY at) FILTER (role = 'assistant'), '') AS learned FROM placed GROUP BY conv_id)
+      digests AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '') AS learned FROM placed GROUP BY conv_id)
       SELECT d.conv_id, n_turns, turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars
       FROM digests d JOIN written w ON d.conv_id IS NOT DISTINCT FROM w.conv_id""",
     "op13_merkle_manifest": f"""WITH RECURSIVE {_STEPS},
