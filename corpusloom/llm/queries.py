@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.chat_windows import Template, chat_windows
+from corpusloom.llm.conversation_repair import repair_report
 from corpusloom.llm.crf_extract import extract_text
 from corpusloom.llm.lattice_lm import score_texts
 from corpusloom.llm.merkle import folded, merkle_manifest, record_digest
@@ -98,6 +99,18 @@ def op11_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    blank = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    fate, role, text = F.col("fate"), F.coalesce("role", blank), F.coalesce("text", blank)
+    damaged = rows.withColumn("fate", F.crc32(place.cast("binary")) % 20).where(fate != 0).select(
+        "conv_id", "turn", F.when(fate == 4, "user").otherwise(role).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(fate == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    return repair_report(damaged, rows)
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     fields = {c: F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")}
@@ -123,6 +136,7 @@ QUERIES = {
     "op9_lattice_scores": op9_lattice_scores,
     "op10_projection_search": op10_projection_search,
     "op11_chat_windows": op11_chat_windows,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
