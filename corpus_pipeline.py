@@ -16,7 +16,7 @@ from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.mixing import mix_sources
 from corpusloom.llm.mixture_langid import learn, predict
-from corpusloom.llm.near_copies import near_copies
+from corpusloom.llm.simhash import near_duplicates
 from corpusloom.scratch import settle
 
 MAIN_SHARE = 0.4  # of a document's main language
@@ -58,17 +58,15 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group that links connect; among repeated ids, one row.
+    """One document, that of the smallest id, of each group that SimHash links connect; among repeated ids, one row.
 
-    Documents link when the Jaccard similarity of their sets of five-word shingles is 0.8 or more.
+    Links are 4 or fewer differing bits of fingerprints over four-word shingles.
     """
     rows, names, known = _apart(docs)
     rows = settle(rows.withColumn("row_id", F.monotonically_increasing_id()))
-    roots = settle(near_copies(rows, id_col="row_id", text_col=known["text"])).withColumnRenamed("node", "row_id")
-    linked = settle(rows.select("row_id", known["doc_id"]).join(roots.hint("merge"), "row_id"))
-    first = linked.groupBy("root").agg(F.min(F.struct(known["doc_id"], "row_id")).alias("first"))
-    gone = settle(linked.select("row_id").join(first.select("first.row_id").hint("merge"), "row_id", "left_anti"))
-    return rows.join(gone.hint("merge"), "row_id", "left_anti").select(*names).toDF(*docs.columns)
+    judged = near_duplicates(rows, id_col=known["doc_id"], text_col=known["text"], words_each=4, limit=4, carry=["row_id"])
+    kept = settle(judged.groupBy("component_code").agg(F.min(F.struct("doc_id", "row_id")).alias("first")).select("first.row_id"))
+    return rows.join(kept.hint("merge"), "row_id", "left_semi").select(*names).toDF(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
