@@ -10,7 +10,6 @@ import xxhash
 from corpusloom.llm.block_naming import exact_duplicates, identities
 from corpusloom.llm.components import components
 from corpusloom.llm.gray_index import gray_rank, linked
-from corpusloom.llm.near_copies import near_copies
 from corpusloom.llm.simhash import fingerprint_components, near_duplicates, simhash
 
 
@@ -143,56 +142,3 @@ def test_near_duplicates_rows(spark):
     assert {r.fingerprint for r in got if r.component_id == 2} == {"0" * 16}
     assert all(r.fingerprint == f"{simhash(dict(rows)[r.doc_id]):016x}" for r in got if r.doc_id in (5, 7, 8, 11))
     assert near_duplicates(df.limit(0)).collect() == []
-
-
-def jaccard_sets_by_hand(texts):
-    sets = []
-    for text in texts:
-        words = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").split()
-        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
-    root = list(range(len(texts)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    links = 0
-    for i in range(len(texts)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
-                links += 1
-                a, b = sorted((find(i), find(j)))
-                root[b] = a
-    return [find(i) for i in range(len(texts))], links
-
-
-def edited_texts():
-    """Copies with few edits, in groups and chains, among others that share a passage; similarities on both sides of 0.8."""
-    draw = random.Random(12)
-    fresh = lambda n: [f"w{draw.randrange(100_000)}" for _ in range(n)]
-    passage, texts = fresh(30), []
-    for size in (40, 120, 400):
-        for edits in (1, 2, 3, 4, size // 40, size // 25):
-            base = fresh(size)
-            for _ in range(9):
-                words = list(base)
-                for _ in range(edits):
-                    words[draw.randrange(size)] = f"e{draw.randrange(100_000)}"
-                texts.append(" ".join(words))
-        words = fresh(size)
-        for _ in range(8):  # a chain: only neighbours are alike
-            words = words[size // 12:] + fresh(size // 12)
-            texts.append(" ".join(words))
-    texts += [" ".join(fresh(20) + passage + fresh(20)) for _ in range(40)]
-    return texts + [None, "", " \t", "one two", "One  TWO", "one two three", texts[0].upper(), *(f"w{i} x" for i in range(5))]
-
-
-def test_near_copies_are_those_of_brute_force(spark):
-    texts = edited_texts()
-    expected, links = jaccard_sets_by_hand(texts)
-    assert links > 150
-    got = {r.node: r.root for r in near_copies(spark.createDataFrame(list(enumerate(texts)), "row_id long, text string")).collect()}
-    assert [got.get(i, i) for i in range(len(texts))] == expected
-    assert near_copies(spark.createDataFrame([], "row_id long, text string")).collect() == []
