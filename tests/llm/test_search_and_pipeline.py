@@ -48,12 +48,27 @@ def test_searcher_stops_early_and_finds_most():
     vectors = clusters(4000, 24, 3)
     longest = float(np.sqrt((vectors**2).sum(axis=1)).max())
     search = Searcher(np.arange(4000), vectors, longest, directions(24, 8, 1))
-    hits = 0
-    for q in range(0, 4000, 100):
-        ids, scores = search.nearest(q, vectors[q], 10, chi_square_quantile(0.97, 8))
+    asked, hits = np.arange(0, 4000, 100), 0
+    who, ids, scores = search.nearest(asked, vectors[asked], 10, chi_square_quantile(0.97, 8))
+    for i, q in enumerate(asked.tolist()):
         expected, _ = brute(np.arange(4000), vectors, q, vectors[q], 10)
-        hits += len(set(ids.tolist()) & set(expected))
+        own = ids[who == i]
+        assert len(own) == 10 and scores[who == i].tolist() == (vectors[own] * vectors[q]).sum(axis=1).tolist()
+        hits += len(set(own.tolist()) & set(expected))
     assert hits >= 0.9 * 400
+    near = search.nearest(asked, vectors[asked], 10, chi_square_quantile(0.97, 8), np.full(len(asked), 1e-12))
+    assert len(near[0]) < 400  # what is known elsewhere ends the search
+
+
+def test_searcher_keeps_ties_by_id():
+    draw = np.random.default_rng(4)
+    vectors = draw.integers(-2, 3, (3000, 6)).astype(np.float64)  # many equal products
+    ids = draw.permutation(3000)
+    longest = float(np.sqrt((vectors**2).sum(axis=1)).max())
+    search = Searcher(ids, vectors, longest, directions(6, 8, 1))
+    who, found, scores = search.nearest(ids[:300], vectors[:300], 15, 1e9)
+    for i in range(300):
+        assert (found[who == i].tolist(), scores[who == i].tolist()) == brute(ids, vectors, ids[i], vectors[i], 15)
 
 
 def test_neighbours_have_recall_and_exact_scores(spark, monkeypatch):
@@ -82,6 +97,26 @@ def test_neighbours_have_recall_and_exact_scores(spark, monkeypatch):
     assert hits >= 0.95 * 20 * len(by_query)
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_repeated_ids_queries_and_lengths(spark, monkeypatch, small):
+    if small:
+        monkeypatch.setattr(projection_knn, "CELL", 40)
+        monkeypatch.setattr(projection_knn, "QUERIES", 8)
+    draw = np.random.default_rng(2)
+    rows = [(int(i), (draw.integers(-3, 4, 4 + 2 * (i % 3 == 0)) + 0.5).tolist()) for i in range(200)]
+    rows += [rows[20]] * 30 + [(1000, [9.5] * 6)] * 25 + [(1001, [9.5] * 6), (1002, [9.5] * 6), (40, rows[60][1]), (41, rows[60][1]), (40, [0.5, -0.0]), (7, [0.0, 1.0])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, rank int").repartition(5)
+    found = {}
+    for r in nearest_neighbours(df, df.where("vec_id % 20 = 0"), 20, confidence=0.9999999).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    distinct, want = {(i, tuple(v)) for i, v in rows}, {}
+    for q, x in distinct:
+        if q % 20 == 0:
+            others = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in distinct if i != q and len(y) == len(x))
+            want.setdefault(q, []).extend((n + 1, i, -s) for n, (s, i) in enumerate(others[:20]))
+    assert {q: sorted(f) for q, f in found.items()} == {q: sorted(w) for q, w in want.items()}
+
+
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (1, [2.0, 1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
