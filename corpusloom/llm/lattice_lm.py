@@ -18,14 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.arrow_rows import slices
+from corpusloom.llm.arrow_rows import slices, small_batches
 from corpusloom.llm.columns import fresh, quoted
 from corpusloom.llm.lattice import Lattice, Vocabulary
 from corpusloom.scratch import settle
 
 HEAD_WORDS = 100_000  # most words that are broadcast,
 HEAD_BYTES = 48  # and the longest of them: 5 MB of text at most
-WORDS_AT_ONCE = 200_000
+WORDS_AT_ONCE = 50_000
 PRIOR_USES = 0.01  # pieces that the vocabulary's own probabilities count for, for each piece of it
 LOG10 = math.log(10)
 
@@ -139,12 +139,14 @@ def score_texts(df: DataFrame, path: str, learns: Column, *, text_col: str = "te
     Other words meet their counts in a join of written tables; words in every text are broadcast unless longer than
     ``HEAD_BYTES``, and then adaptive execution splits their partition.
     """
-    words = settle(count_words(df, text_col, learns))
+    spark = df.sparkSession
+    with small_batches(spark):
+        words = settle(count_words(df, text_col, learns))
     n_texts = df.where(learns).count()
     seen = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     n, v = seen[0] + n_texts, seen[1] + (n_texts > 0)
     words = settle(with_lattice(words, path, probability := fit(words, n_texts, path, rounds)))
-    head = df.sparkSession.sparkContext.broadcast(_head(words))
+    head = spark.sparkContext.broadcast(_head(words))
     end = (math.log10(n_texts + 0.5), int(n_texts > 0), math.log10(probability[-1]))
 
     rows = df.select(*[F.col(quoted(c)) for c in carry], F.col(quoted(text_col)).cast("string").alias("__text"))
@@ -182,7 +184,8 @@ def score_texts(df: DataFrame, path: str, learns: Column, *, text_col: str = "te
                 batch.columns[:-1] + [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(low, pa.float64()), pa.array(high, pa.float64()),
                                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)], names=names)
 
-    done = settle(rows.mapInArrow(run, T.StructType(fields)).withColumn(row, F.monotonically_increasing_id()))
+    with small_batches(spark):
+        done = settle(rows.mapInArrow(run, T.StructType(fields)).withColumn(row, F.monotonically_increasing_id()))
     rest = done.select(F.col(quoted(row)).alias("row_id"), F.explode(quoted(rare)).alias("one")).select("row_id", "one.word", "one.n")
     rest = rest.join(words.hint("merge"), "word").groupBy("row_id").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("k"), F.sum(F.col("n") * F.log10(F.col("c") + 0.5)).alias("b"),
