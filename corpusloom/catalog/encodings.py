@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusloom.catalog import codes, texts
 from corpusloom.catalog.codes import FUNCTION_ROWS_SQL, python_files, python_functions
 from corpusloom.catalog.common import documents, draw32_sql
 from corpusloom.functions.seeded import KEY_SPAN
@@ -17,7 +18,7 @@ from corpusloom.scratch import scratch_path
 from corpusloom.sources.results import read_tokenizer_tables, write_function_csv, write_tokenizer_tables
 from corpusloom.sources.tables import read_table
 
-VOCAB_SIZE = 256  # leaves room for some 150 merges beyond the special tokens and the bytes in use
+VOCAB_SIZE = 1_000  # where SQL, which counts all words again for each merge, is to follow; the _full queries take the default of 32,000
 
 
 def _pretokens(spark, sf):
@@ -37,17 +38,15 @@ def _train(spark, sf):
     return train_bpe(documents(spark, sf, "doc_id", "text"), VOCAB_SIZE).merges
 
 
-_trained: dict[tuple[str, str], str] = {}
+def _tokenizer(spark, sf, **size):
+    """The documents' tokenizer, learned and read back from its tables."""
+    path = scratch_path(spark, "tokenizer")
+    write_tokenizer_tables(train_bpe(documents(spark, sf, "doc_id", "text"), **(size or {"vocab_size": VOCAB_SIZE})), path)
+    return read_tokenizer_tables(spark, path)
 
 
-def _tokenizer(spark, sf):
-    """The documents' tokenizer, learned once per session and read back from its tables."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _trained:
-        path = scratch_path(spark, "tokenizer")
-        write_tokenizer_tables(train_bpe(documents(spark, sf, "doc_id", "text"), VOCAB_SIZE), path)
-        _trained[key] = path
-    return read_tokenizer_tables(spark, _trained[key])
+def _train_full(spark, sf):
+    return train_bpe(documents(spark, sf, "doc_id", "text")).merges
 
 
 def _tables(spark, sf):
@@ -55,12 +54,23 @@ def _tables(spark, sf):
     return _tokenizer(spark, sf).vocab
 
 
-def _encode(spark, sf):
+def _encoded_documents(spark, sf, tokenizer):
     """Ids, and the text decoded again; the leading space that encoding adds stays."""
-    tokenizer = _tokenizer(spark, sf)
     encoded = encode_bpe(documents(spark, sf, "doc_id", "text"), tokenizer, {"text": "ids"})
     decoded = decode_ids(encoded, tokenizer, "ids", "decoded")
-    return decoded.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), " ").alias("ids"), "decoded")
+    return decoded.select("doc_id", _spaced("ids").alias("ids"), "decoded")
+
+
+def _spaced(ids):
+    return F.array_join(F.col(ids).cast("array<string>"), " ")
+
+
+def _encode(spark, sf):
+    return _encoded_documents(spark, sf, _tokenizer(spark, sf))
+
+
+def _encode_full(spark, sf):
+    return _encoded_documents(spark, sf, _tokenizer(spark, sf, vocab_size=32_000))
 
 
 def _encode_functions(spark, sf):
@@ -76,18 +86,14 @@ def _pretraining(spark, sf):
     docs = documents(spark, sf, "doc_id", "text").withColumnRenamed("text", "source")
     examples = pretraining_examples(docs, "doc_id", _tokenizer(spark, sf))
     return examples.select(
-        "doc_id", "split", (F.size("input_ids") <= 512).alias("input_fits"), (F.size("labels") <= 256).alias("labels_fit"),
-        (F.size("attention_mask") == F.size("input_ids")).alias("mask_fits"),
-        F.array_contains("input_ids", 4).alias("has_mask"),
-    )
+        "doc_id", "split", _spaced("input_ids").alias("input_ids"), _spaced("attention_mask").alias("attention_mask"), _spaced("labels").alias("labels"))
 
 
 def _finetuning(spark, sf):
     examples = finetuning_examples(python_functions(spark, sf), "doc_id", _tokenizer(spark, sf))
     return examples.select(
-        "doc_id", "split", "target_text", F.size("input_ids").alias("n_input"), F.size("attention_mask").alias("n_mask"),
-        F.size("labels").alias("n_labels"),
-    )
+        "doc_id", "split", "target_text", _spaced("input_ids").alias("input_ids"), _spaced("attention_mask").alias("attention_mask"),
+        _spaced("labels").alias("labels"))
 
 
 def _ids(spark, sf):
@@ -125,8 +131,10 @@ QUERIES = {
     "byte_level_words": _byte_words,
     "symbol_pair_counts": _pairs,
     "train_bpe": _train,
+    "train_bpe_full": _train_full,
     "tokenizer_tables": _tables,
     "encode_bpe": _encode,
+    "encode_bpe_full": _encode_full,
     "encode_functions_from_csv": _encode_functions,
     "pretraining_examples": _pretraining,
     "finetuning_examples": _finetuning,
@@ -173,8 +181,6 @@ def _spelled(side: str) -> str:
 
 
 _TOKS = r"list_transform(list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> ''), lambda x: length(x))"
-_CONDITIONS = """['x > ' || n_chars, 'lang == ' || chr(34) || lang || chr(34), 'y in (' || chr(34) || source || chr(34) || ',)']"""
-_N_WORDS = r"len(list_filter(string_split_regex(text, '[ \t\r\n]+'), lambda x: x <> ''))"
 
 def _encoded(table: str) -> str:
     """CTE ``encoded(key, ids)`` for a table ``(key, text)``: every merge in turn, on each distinct word."""
@@ -191,6 +197,27 @@ def _encoded(table: str) -> str:
     FROM pieces JOIN merged USING (word) GROUP BY key)"""
 
 
+def _examples(max_input: int, max_target: int, pad: bool) -> str:
+    """CTE ``examples(doc_id, input_ids, attention_mask, labels)`` of a table ``masked(doc_id, input_text, target_text)``.
+
+    The runs between masks are encoded each by itself; a mask is the id 4.
+    """
+    def framed(side: str, size: int) -> str:
+        return f"list_concat(list_concat(['1'], list_filter(string_split({side}, ' '), lambda x: x <> '')[1:{size - 2}]), ['2'])"
+
+    def row(ids: str, size: int, fill: str) -> str:
+        return f"array_to_string({ids}, ' ')" + (f" || repeat(' {fill}', {size} - len({ids})::INTEGER)" if pad else "")
+
+    return f"""two_sides AS (SELECT doc_id, 'i' AS side, input_text AS text FROM masked UNION ALL SELECT doc_id, 't', target_text FROM masked),
+  runs AS (SELECT doc_id, side, unnest(string_split(text, '<mask>')) AS text, generate_subscripts(string_split(text, '<mask>'), 1) AS run FROM two_sides),
+  keyed AS (SELECT doc_id || side || run AS key, text FROM runs WHERE text <> ''), {_encoded('keyed')},
+  joined AS (SELECT doc_id, string_agg(coalesce(ids, ''), ' 4 ' ORDER BY run) FILTER (side = 'i') AS i, string_agg(coalesce(ids, ''), ' 4 ' ORDER BY run) FILTER (side = 't') AS t
+    FROM runs LEFT JOIN encoded ON key = doc_id || side || run GROUP BY doc_id),
+  cut AS (SELECT doc_id, {framed('i', max_input)} AS i, {framed('t', max_target)} AS t FROM joined),
+  examples AS (SELECT doc_id, {row('i', max_input, '0')} AS input_ids, {row("list_transform(i, lambda x: '1')", max_input, '0')} AS attention_mask,
+    {row('t', max_target, '0')} AS labels FROM cut)"""
+
+
 ORACLES = {
     "pretoken_counts": f"WITH {_WORDS} SELECT word, c FROM counts",
     "byte_level_words": f"WITH {_WORDS}, {_BYTES} SELECT symbols, c FROM coded",
@@ -211,12 +238,13 @@ ORACLES = {
     "encode_functions_from_csv": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}, {FUNCTION_ROWS_SQL},
       keyed AS (SELECT file || ' ' || function_name AS key, source AS text FROM functions), {_encoded('keyed')}
       SELECT file, function_name, ids FROM functions JOIN encoded ON key = file || ' ' || function_name""",
-    "pretraining_examples": f"""SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} < {0.1 * KEY_SPAN} THEN 'test' ELSE 'train' END AS split,
-      true AS input_fits, true AS labels_fit, true AS mask_fits, true AS has_mask FROM documents WHERE {_N_WORDS} >= 3""",
-    "finetuning_examples": f"""SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} >= {0.2 * KEY_SPAN} THEN 'train'
-      WHEN {draw32_sql('42.held', 'doc_id')} < {0.5 * KEY_SPAN} THEN 'test' ELSE 'validation' END AS split,
-      ({_CONDITIONS})[{draw32_sql(42, 'doc_id')} % 3 + 1] AS target_text,
-      256::INTEGER AS n_input, 256::INTEGER AS n_mask, 64::INTEGER AS n_labels FROM documents""",
+    "pretraining_examples": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}, masked AS ({texts.ORACLES["mask_random_tokens"]}), {_examples(512, 256, False)}
+      SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} < {0.1 * KEY_SPAN} THEN 'test' ELSE 'train' END AS split,
+        input_ids, attention_mask, labels FROM examples""",
+    "finetuning_examples": f"""WITH RECURSIVE {_WORDS}, {_BYTES}, {_MERGES}, masked AS ({codes.ORACLES["mask_if_condition"]}), {_examples(256, 64, True)}
+      SELECT doc_id, CASE WHEN {draw32_sql(42, 'doc_id')} >= {0.2 * KEY_SPAN} THEN 'train'
+        WHEN {draw32_sql('42.held', 'doc_id')} < {0.5 * KEY_SPAN} THEN 'test' ELSE 'validation' END AS split,
+        target_text, input_ids, attention_mask, labels FROM examples JOIN masked USING (doc_id)""",
     "frame_template": f"""WITH t AS (SELECT doc_id, {_TOKS} AS ids FROM documents)
       SELECT doc_id, array_to_string(list_concat(list_concat([1], ids), [2]), ' ') AS single,
         array_to_string(list_concat(list_concat(list_concat(list_concat([1], ids), [2, 2]), ids[1:3]), [2]), ' ') AS pair FROM t""",

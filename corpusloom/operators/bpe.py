@@ -1,15 +1,20 @@
 """Learning a byte-level byte-pair encoding.
 
-Words live in Spark as strings of one private-use character per symbol, so merging a pair
-everywhere, left to right, is the built-in ``replace``. The driver sees only the few best
-pairs of each round and the vocabulary, which its size parameter bounds.
+Words live in Spark as strings of one private-use character per symbol. A round takes the best pairs, cuts the words at
+all others, and has hundreds or thousands of merges follow from the distinct pieces, whose number is bounded; then all words are
+merged at once. The driver sees the best pairs and the pieces of each round, both bounded by parameters, and the vocabulary,
+which its size parameter bounds.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.scratch import settle
 
@@ -24,8 +29,9 @@ WORD_PATTERN = (
 
 _FIRST_SYMBOL = 0xF0000  # start of the two private-use planes
 _MAX_SYMBOLS = 0x20000
-_CANDIDATES = 512
-_PENDING_MERGES = 16
+_HOT_PAIRS = 16_384  # best pairs of a round, at first
+_MAX_PIECES = 200_000  # distinct pieces that the driver gets in a round; more halve the pairs
+_PIECE_SYMBOLS = 4_000_000  # and symbols in them
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -92,33 +98,126 @@ def _symbol(i: int) -> str:
     return chr(_FIRST_SYMBOL + i)
 
 
-def choose_merges(
-    best: list[tuple[str, int, int]], names: list[str], ids: dict[str, int], room: int, min_frequency: int
+def adjacent_pairs(words: DataFrame, symbols: str = "symbols", weight: str = "c") -> DataFrame:
+    """``(pair, c)``: weighted count of each adjacent pair of one-character symbols."""
+    chars = F.length(symbols)
+    starts = words.where(chars > 1).select(symbols, weight, F.explode(F.sequence(F.lit(1), chars - 1)).alias("i"))
+    return starts.select(F.substring(F.col(symbols), F.col("i"), F.lit(2)).alias("pair"), weight).groupBy("pair").agg(F.sum(weight).alias("c"))
+
+
+def hot_pieces(words: DataFrame, hot: Sequence[str]) -> DataFrame:
+    """``(piece, c)``: the distinct longest runs of symbols whose adjacent pairs are all ``hot``."""
+    shared = words.sparkSession.sparkContext.broadcast(frozenset(hot))
+
+    @F.pandas_udf("array<string>")
+    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hot = shared.value
+
+        def of(word: str) -> list[str]:
+            out, start = [], 0
+            for i in range(1, len(word)):
+                if word[i - 1:i + 1] not in hot:
+                    if i - start > 1:
+                        out.append(word[start:i])
+                    start = i
+            if len(word) - start > 1:
+                out.append(word[start:])
+            return out
+
+        for batch in batches:
+            yield batch.map(of)
+
+    return words.select(F.explode(pieces("symbols")).alias("piece"), "c").groupBy("piece").agg(F.sum("c").alias("c"))
+
+
+def with_merges(words: DataFrame, merges: dict[str, str]) -> DataFrame:
+    """``words`` with the pairs ``merges`` (in order, each to one symbol) merged, left to right."""
+    shared = words.sparkSession.sparkContext.broadcast({pair: (rank, made) for rank, (pair, made) in enumerate(merges.items())})
+
+    @F.pandas_udf("string")
+    def merged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        made = shared.value
+        for batch in batches:
+            yield batch.map(lambda word: _merged(word, made))
+
+    return words.select(merged("symbols").alias("symbols"), "c")
+
+
+def _merged(word: str, merges: dict[str, tuple[int, str]]) -> str:
+    """Pairs of the lowest rank first and of these the leftmost, over a linked list of symbols and a heap of pairs."""
+    heap = [(*merges[pair], i) for i in range(len(word) - 1) if (pair := word[i:i + 2]) in merges]
+    if not heap:
+        return word
+    heapify(heap)
+    n, parts = len(word), list(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    while heap:
+        rank, made, i = heappop(heap)
+        j = after[i]
+        if not parts[i] or j >= n or merges.get(parts[i] + parts[j], (-1,))[0] != rank:
+            continue
+        parts[i], parts[j] = made, ""
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+        for left, right in ((before[i], i), (i, k)):
+            if left >= 0 and right < n and (new := merges.get(parts[left] + parts[right])) is not None:
+                heappush(heap, (*new, left))
+    return "".join(parts)
+
+
+def merges_while_hot(
+    pieces: list[tuple[str, int]], last: tuple[int, str], names: list[str], ids: dict[str, int], room: int, min_frequency: int
 ) -> list[str]:
-    """The longest run of best pairs that one-at-a-time merging is sure to take in this order.
+    """The pairs that one-at-a-time merging takes from here while the best is no worse than ``last`` (count, pair).
 
-    ``best`` is ``(pair, count, longest triple)``, best first. Merging (a, b) changes the counts
-    only of pairs that end in a or start with b, and makes new pairs no more frequent than the
-    longest triple around it. The run stops before a pair either could affect. Where the
-    merged text is a token already, older pairs may gain, so the run ends there.
+    Counts of pairs only fall, and a pair with a new symbol is no more frequent than the one it grew from; among equals it
+    comes after it, as new symbols have larger ids. So pairs worse than ``last``, at which the pieces were cut, neither come up nor lead to
+    one that does, and all others are counted in full. Only where merged text is a token already may older pairs
+    gain: there the run ends.
     """
-    chosen, new_bound, lefts, rights = [], 0, set(), set()
-    for pair, count, longest in best:
-        left, right = pair
-        if count < max(1, min_frequency) or room == 0:
-            break
-        if chosen and (count <= new_bound or left in rights or right in lefts):
+    words = [p for p, _ in pieces]
+    counts, where = defaultdict(int), defaultdict(set)
+    for n, (word, c) in enumerate(pieces):
+        for i in range(len(word) - 1):
+            counts[word[i:i + 2]] += c
+            where[word[i:i + 2]].add(n)
+    heap = [(-c, pair) for pair, c in counts.items()]
+    heapify(heap)
+    chosen, end = [], (-last[0], last[1])
+    while heap and room > 0:
+        best = heappop(heap)
+        pair, c = best[1], -best[0]
+        if counts[pair] != c:
+            if counts[pair] > 0:
+                heappush(heap, (-counts[pair], pair))
+            continue
+        if best > end or c < max(1, min_frequency):
             break
         chosen.append(pair)
-        lefts.add(left)
-        rights.add(right)
-        new_bound = max(new_bound, longest)
-        text = names[ord(left) - _FIRST_SYMBOL] + names[ord(right) - _FIRST_SYMBOL]
+        text = names[ord(pair[0]) - _FIRST_SYMBOL] + names[ord(pair[1]) - _FIRST_SYMBOL]
         if text in ids:
             break
+        made = _symbol(len(names))
         ids[text] = len(names)
         names.append(text)
         room -= 1
+        grown = set()
+        for n in where.pop(pair):
+            old, weight = words[n], pieces[n][1]
+            if pair not in old:
+                continue
+            words[n] = new = old.replace(pair, made)
+            for i in range(len(old) - 1):
+                counts[old[i:i + 2]] -= weight
+            for i in range(len(new) - 1):
+                two = new[i:i + 2]
+                counts[two] += weight
+                if made in two:
+                    where[two].add(n)
+                    grown.add(two)
+        for two in grown:
+            heappush(heap, (-counts[two], two))
     return chosen
 
 
@@ -128,8 +227,8 @@ def train_bpe(
 ) -> Tokenizer:
     """Learn merges: always the most frequent pair, ties to the lower left, then right id.
 
-    Each round counts pairs and triples of the distinct words in one job and takes as many
-    merges as are certain; the words are written out again every so often, not every round.
+    A round is three passes over the distinct words: count the pairs, cut the words at all but the best, merge. It takes every merge
+    that the best pairs lead to, so tens of rounds learn tens of thousands of merges. Null texts have no words.
     """
     if vocab_size > _MAX_SYMBOLS:
         raise ValueError(f"vocab_size must not exceed {_MAX_SYMBOLS}")
@@ -142,25 +241,29 @@ def train_bpe(
     # Distinct words only, so this moves little; one small file would keep one core busy.
     words = settle(words.select(coded.alias("symbols"), "c").filter(F.length("symbols") > 1).repartition("symbols"))
 
-    merges, pending = [], []
+    merges, n_hot = [], _HOT_PAIRS
     while len(names) < vocab_size:
-        current = F.col("symbols")
-        for pair, merged in pending:
-            current = F.replace(current, F.lit(pair), F.lit(merged))
-        now = words.select(current.alias("symbols"), "c")
-        if len(pending) >= _PENDING_MERGES:
-            words, pending = settle(now.filter(F.length("symbols") > 1)), []
-            now = words
-        best = (
-            symbol_pair_counts(now).orderBy(F.col("c").desc(), "pair").limit(_CANDIDATES).collect()
-        )
-        chosen = choose_merges([tuple(r) for r in best], names, ids, vocab_size - len(names), min_frequency)
-        if not chosen:
+        best = [(r["c"], r["pair"]) for r in adjacent_pairs(words).orderBy(F.desc("c"), "pair").limit(n_hot).collect()]
+        best = [b for b in best if b[0] >= max(1, min_frequency)]
+        if not best:
             break
+        while True:  # one pair alone leaves runs of two symbols, of few lengths
+            pieces = settle(hot_pieces(words, [pair for _, pair in best]))
+            n, symbols = pieces.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()
+            if len(best) == 1 or n <= _MAX_PIECES and symbols <= _PIECE_SYMBOLS:
+                break
+            n_hot = max(1, len(best) // 2)
+            best = best[:n_hot]
+        chosen = merges_while_hot([tuple(r) for r in pieces.collect()], best[-1], names, ids, vocab_size - len(names), min_frequency)
+        made = {}
         for pair in chosen:
             left, right = (names[ord(ch) - _FIRST_SYMBOL] for ch in pair)
             merges.append((len(merges), left, right))
-            pending.append((pair, _symbol(ids[left + right])))
+            made[pair] = _symbol(ids[left + right])
+        *fresh, (pair, symbol) = made.items()  # the last may make a symbol that earlier ones have, so it comes by itself
+        merged = with_merges(words, dict(fresh)).select(F.replace("symbols", F.lit(pair), F.lit(symbol)).alias("symbols"), "c")
+        words = settle(merged.filter(F.length("symbols") > 1))
+        n_hot = min(_HOT_PAIRS, 2 * n_hot)
     vocab = spark.createDataFrame(list(ids.items()), "token string, id int")
     return Tokenizer(vocab, spark.createDataFrame(merges, "rank int, left string, right string"))
 

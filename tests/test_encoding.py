@@ -33,10 +33,11 @@ def library(size, frequency=2):
     return made
 
 
-@pytest.mark.parametrize("size, frequency, pending", [(130, 2, 3), (1000, 4, 16)])
-def test_same_as_the_library(spark, corpus, monkeypatch, size, frequency, pending):
-    """The second case ends because no pair is frequent enough."""
-    monkeypatch.setattr(bpe, "_PENDING_MERGES", pending)
+@pytest.mark.parametrize("size, frequency, hot, pieces", [(130, 2, 3, 1000), (1000, 4, 10_000, 1000), (1000, 2, 40, 5)])
+def test_same_as_the_library(spark, corpus, monkeypatch, size, frequency, hot, pieces):
+    """The last two end because no pair is frequent enough; the last halves the pairs until few pieces are left."""
+    monkeypatch.setattr(bpe, "_HOT_PAIRS", hot)
+    monkeypatch.setattr(bpe, "_MAX_PIECES", pieces)
     ours, theirs = bpe.train_bpe(corpus, size, frequency), library(size, frequency)
     model = json.loads(theirs.to_str())["model"]
     assert {r.token: r.id for r in ours.vocab.collect()} == model["vocab"]
@@ -48,6 +49,50 @@ def test_same_as_the_library(spark, corpus, monkeypatch, size, frequency, pendin
     assert got == [theirs.encode(t).ids for t in masked]
 
 
+def test_default_size_on_documents(spark, monkeypatch):
+    """Every merge that the words allow, over several rounds, and the ids of all documents."""
+    tokenizers = pytest.importorskip("tokenizers")
+    monkeypatch.setattr(bpe, "_HOT_PAIRS", 2_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    made = tokenizers.Tokenizer(tokenizers.models.BPE(unk_token="<unk>"))
+    made.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel()
+    made.train_from_iterator(texts.values(), tokenizers.trainers.BpeTrainer(
+        vocab_size=32_000, min_frequency=2, special_tokens=SPECIAL_TOKENS, show_progress=False))
+    ours = bpe.train_bpe(docs)
+    merges = [m if isinstance(m, list) else m.split(" ") for m in json.loads(made.to_str())["model"]["merges"]]
+    assert [[r.left, r.right] for r in ours.merges.orderBy("rank").collect()] == merges and len(merges) > 5_000
+    got = {r.doc_id: r.ids for r in encoding.encode_bpe(docs, ours, {"text": "ids"}).collect()}
+    assert got == {i: made.encode(t).ids for i, t in texts.items()}
+
+
+def test_repeated_token_ends_a_round():
+    """ab+c and a+bc spell the same token, which older pairs may gain from."""
+    names, ids = list("abcd"), {t: i for i, t in enumerate("abcd")}
+    word = lambda t: "".join(bpe._symbol("abcd".index(x)) for x in t)
+    pieces = [(word("bc"), 9), (word("ab"), 8), (word("abc"), 3), (word("abcd"), 2)]
+    chosen = bpe.merges_while_hot(pieces, (1, chr(0x10FFFF)), names, ids, 100, 1)
+    assert names[4:6] == ["bc", "ab"] and names[6] == "abc" and len(chosen) <= 4
+
+
+def test_merging_words_is_replacing_in_order():
+    import random
+
+    draw = random.Random(3)
+    for _ in range(200):
+        merges, symbols = {}, list("abc")
+        for i in range(draw.randint(1, 8)):
+            pair = draw.choice(symbols) + draw.choice(symbols)
+            if pair not in merges:
+                symbols.append(chr(0xF0000 + i))
+                merges[pair] = symbols[-1]
+        word = "".join(draw.choice("abc") for _ in range(draw.randint(1, 30)))
+        expected = word
+        for pair, new in merges.items():
+            expected = expected.replace(pair, new)
+        assert bpe._merged(word, {p: (r, m) for r, (p, m) in enumerate(merges.items())}) == expected
+
+
 def test_pretokens(spark):
     tokenizers = pytest.importorskip("tokenizers")
     split = tokenizers.pre_tokenizers.ByteLevel()
