@@ -1,4 +1,5 @@
 import csv
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from corpusloom.plans.training_examples import function_corpus
 from corpusloom.scratch import scratch_path, scratch_root
 from corpusloom.sources.escaped_csv import read_escaped_csv, write_escaped_csv
 from corpusloom.sources.quoted_csv import read_quoted_csv, write_quoted_csv
+from corpusloom.sources.quoted_records import ends_inside, quoted_records
 from corpusloom.sources.tables import spread_small
 from corpusloom.sources.trees import commit_files, read_repo_list, scan_source_tree, source_texts
 from corpusloom.streaming.counts import read_streamed_counts, stream_pair_counts
@@ -113,3 +115,50 @@ def test_stream(spark, tmp_path):
         stream_pair_counts(stream, 2, out, checkpoint).awaitTermination()
     batch = pair_counts(seqs, 2)
     assert sorted(read_streamed_counts(spark, out).select(*batch.columns).collect()) == sorted(batch.collect())
+
+
+AWKWARD = ["", "plain", 'say "hi"', '"', '""', "a,b", "line\nbreak", "\n", "\n\n\n", 'x\n"\n,"\n', "cr\rin", "crlf\r\nin", ",", " lead", "trail ", "é日\U0001f600", '"\n' * 40,
+           "a" * 300, "\n".join(str(i) for i in range(60)), "q" + '""' * 50]
+
+
+@pytest.mark.parametrize("size, end", [(64, "\n"), (256, "\r\n"), (1 << 20, "\n"), (1000, "")])
+def test_one_quoted_file_by_many_tasks(spark, tmp_path, size, end):
+    """Against Python's reader, at every kind of place where a block may end."""
+    draw = random.Random(size)
+    rows = [(i, draw.choice(AWKWARD), draw.choice(AWKWARD)) for i in range(400)]
+    for name in ("one", "two"):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        with open(tmp_path / "in" / f"{name}.csv", "w", newline="", encoding="utf-8") as f:
+            out = csv.writer(f, lineterminator=end or "\n")
+            out.writerows([("id", "te,xt", "more")] + (rows if name == "one" else rows[:7]))
+            f.write("\n\r\n" if end else '9,"open\nto the end')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        read = read_quoted_csv(spark, str(tmp_path / "in"), id_col="row")
+        assert read.columns == ["id", "te,xt", "more", "row"]
+        got = sorted(read.collect(), key=lambda r: r.row)
+        blocks = quoted_records(spark, str(tmp_path / "in")).select("file", "block").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expected = [(str(i), t, m) for i, t, m in rows + rows[:7]]
+    if not end:
+        expected.insert(400, ("9", "open\nto the end", ""))
+        expected.append(("9", "open\nto the end", ""))
+    assert [tuple(r)[:3] for r in got] == expected
+    assert [r.row for r in got] == list(range(len(got)))
+    assert blocks > 20 or size > 1000
+
+
+def test_stray_quotes_and_many_commas():
+    assert not ends_inside('a"b,c', False) and not ends_inside('x,5" pipe', False)
+    assert ends_inside('a,"b', False) and not ends_inside('b",c', True) and ends_inside('b"",c', True)
+    assert not ends_inside("," * 200_000 + '""', False) and ends_inside('"' + '""' * 200_000, False)
+
+
+def test_quoted_schema_and_header_only(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,"x"\nnone,\n3\n', encoding="utf-8")
+    assert [tuple(r) for r in read_quoted_csv(spark, str(tmp_path / "t.csv"), "n int, t string").collect()] == [(1, "x"), (None, ""), (3, "")]
+    (tmp_path / "e.csv").write_text('"a","b"\n', encoding="utf-8")
+    empty = read_quoted_csv(spark, str(tmp_path / "e.csv"))
+    assert empty.columns == ["a", "b"] and empty.collect() == []
