@@ -3,8 +3,8 @@ records end in CRLF.
 
 Since CR and LF inside fields are escaped one by one, a bare CRLF only ever ends a record, so
 files stay splittable by line. ``spark.read.csv`` honours its escape character inside quotes
-only and cannot read this form. Quoted fields are read too, and files whose records end in LF; these
-cannot be split and take one task per file.
+only and cannot read this form. Quoted fields are read too, and files whose records end in LF, also beside others that end in CRLF;
+these cannot be split and take one task per file.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from corpusloom.scratch import settle
 from corpusloom.sources.row_ids import with_file_ids
 
 _RECORD_END = "\r\n"
@@ -33,17 +34,28 @@ def _fields(record: Column) -> Column:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Records ``value`` with ``file``, ``block`` (its offset) and ``at``, their order in it."""
+    """Lines ``value`` between CRLFs with ``file``, ``block`` (its offset) and ``at``, their order in it."""
     lines = spark.read.option("lineSep", _RECORD_END).text(path)
     return lines.select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"))
 
 
-def _whole(spark: SparkSession, path: str) -> DataFrame:
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """Records ``value`` of all files, each in its own form, with ``file``, ``block`` and ``at``.
+
+    A file whose first line has a line feed that no backslash escapes and no quotes hold has records that end in LF. Those
+    files are read whole; all others are split at CRLF.
+    """
+    first = _lines(spark, path).where("block = 0")
+    heads = first.groupBy("file").agg(F.min_by("value", "at").alias("value"))
+    by_feed = settle(heads.where(F.regexp_extract("value", _RECORD, 1) != F.col("value")).select("file"))
+    if by_feed.isEmpty():
+        return _lines(spark, path)
     files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    records = files.select("file", F.posexplode(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1))).alias("at", "value"))
-    return records.select("value", "file", F.lit(0).cast("bigint").alias("block"), F.col("at").cast("bigint").alias("at"))
+    whole = files.join(by_feed, "file", "left_semi").select("file", F.posexplode(F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1))).alias("at", "value"))
+    split = _lines(spark, path).join(by_feed, "file", "left_anti")
+    return split.unionByName(whole.select("value", "file", F.lit(0).cast("bigint").alias("block"), F.col("at").cast("bigint").alias("at")))
 
 
 def read_escaped_csv(
@@ -67,10 +79,9 @@ def read_escaped_csv(
         names = list(columns or required)
         own = [StructField(id_col, LongType())] if id_col else []
         return spark.createDataFrame([], StructType([StructField(n, StringType()) for n in names] + own))
-    # A line feed in the first line that no backslash escapes: records end in LF.
     probe = spark.createDataFrame([(first[0],)], "value string")
     splits = probe.select(F.regexp_extract("value", _RECORD, 1).alias("record")).first()[0]
-    lines = _lines(spark, path) if splits == first[0] else _whole(spark, path)
+    lines = _records(spark, path)
     if id_col:
         lines = with_file_ids(lines, "id", "file", "block", "at")
     kept = ["value", "id"] if id_col else ["value"]

@@ -162,3 +162,17 @@ def test_quoted_schema_and_header_only(spark, tmp_path):
     (tmp_path / "e.csv").write_text('"a","b"\n', encoding="utf-8")
     empty = read_quoted_csv(spark, str(tmp_path / "e.csv"))
     assert empty.columns == ["a", "b"] and empty.collect() == []
+
+
+@pytest.mark.parametrize("first", ["\r\n", "\n"])
+def test_escaped_folder_of_both_record_ends(spark, tmp_path, first):
+    """Every file is read in its own form, whichever comes first."""
+    other = "\n" if first == "\r\n" else "\r\n"
+    body = lambda end, at: end.join(["id,text"] + [f"{at + i},a\\\n{i}\\,b" for i in range(30)] + [f'{at + 30},"q, ""x"""']) + end
+    for name, end, at in (("a", first, 0), ("b", other, 100), ("c", first, 200), ("d", other, 300)):
+        (tmp_path / f"{name}.csv").write_bytes(body(end, at).encode())
+    (tmp_path / "e.csv").write_bytes(b"id,text")
+    rows = read_escaped_csv(spark, str(tmp_path), ["text"], id_col="row").collect()
+    expected = {(str(at + i), f"a\n{i},b") for at in (0, 100, 200, 300) for i in range(30)} | {(str(at + 30), 'q, "x"') for at in (0, 100, 200, 300)}
+    assert {(r.id, r.text) for r in rows} == expected and len(rows) == len(expected)
+    assert [r.id for r in sorted(rows, key=lambda r: r.row)] == [str(at + i) for at in (0, 100, 200, 300) for i in range(31)]
