@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from corpusloom.llm.arrow_rows import slices
 from corpusloom.llm.columns import quoted
 from corpusloom.llm.labelled_pages import labelled_pages
-from corpusloom.llm.leaf_blocks import Block, leaf_blocks
+from corpusloom.llm.leaf_blocks import CLOSED_BY, INLINE, RAW, UNSEEN, VOID, Block, Scope, leaf_blocks
 
 PAGES, SEED, EPOCHS = 500, 7, 6  # the labelled pages and the passes over them
 RATE, DECAY = 0.3, 1e-4
@@ -41,6 +41,7 @@ KINDS = {
 }
 _KIND = [(kind, re.compile("|".join(map(re.escape, words.split())))) for kind, words in KINDS.items()]
 _AD = re.compile(r"(?:^|[-_])ads?(?:$|[-_\d])|adslot|adunit|adbox")
+KNOWN = INLINE | VOID | RAW | UNSEEN | frozenset(CLOSED_BY).union(*CLOSED_BY.values()) | frozenset("html caption colgroup thead legend search slot picture".split())
 _STRUCTURE = frozenset("html body div span tbody thead center font".split())
 
 
@@ -56,14 +57,34 @@ def _size(n: int) -> str:
     return "0" if n == 0 else str(min(9, n.bit_length()))
 
 
+_EMPHASIS = frozenset("b strong a i em span font small u".split())
+
+
+def _facts(scope: Scope | None) -> tuple[str, frozenset[str], frozenset[str]]:
+    """(innermost element but emphasis, elements around, kinds of their class words), once for each element.
+
+    Elements that the HTML standard does not know are in no feature, so the sets are bounded however deep a page is.
+    """
+    chain = []
+    while scope is not None and scope.facts is None:
+        chain.append(scope)
+        scope = scope.parent
+    leaf, inside, kinds = ("none", frozenset(), frozenset()) if scope is None else scope.facts
+    for one in reversed(chain):
+        leaf = leaf if one.tag in _EMPHASIS else one.tag
+        if one.tag in KNOWN and one.tag not in _STRUCTURE and one.tag not in inside:
+            inside = inside | {one.tag}
+        found = {k for w in one.names for k in _word_kinds(w)}
+        kinds = kinds if found <= kinds else kinds | found
+        one.facts = leaf, inside, kinds
+    return leaf, inside, kinds
+
+
 def features(block: Block) -> set[str]:
-    tags, text = block.tags, block.text
-    out = {"always"}
-    leaf = next((t for t in reversed(tags) if t not in ("b", "strong", "a", "i", "em", "span", "font", "small", "u")), "none")
-    out.add("leaf " + leaf)
-    inside = [t for t in tags if t not in _STRUCTURE]
+    text = block.text
+    leaf, inside, kinds = _facts(block.scope)
+    out = {"always", "leaf " + leaf}
     out.update("in " + t for t in inside)
-    kinds = {k for w in block.names for k in _word_kinds(w)}
     out.update("kind " + k for k in kinds)
     if len(kinds - {"article"}):
         out.add("kind other")
@@ -173,7 +194,8 @@ def extract_text(df: DataFrame, *, html_col: str = "html", carry: Sequence[str]
 
     Blocks are joined in page order by one line feed; in a block character references are decoded and white space
     becomes one space. Null counts as the empty page, whose text is empty, as it is where no block
-    is part of an article. Every block of a page is read, however long. Equal pages have equal texts; an
+    is part of an article. Every block of a page is read, however long, and pages take time in proportion to their length, however
+    deeply elements are nested. Equal pages have equal texts; an
     empty table gives no rows.
     The model is trained on ``pages`` labelled pages drawn with ``seed``, none of them from ``df``, and has some
     hundred weights. Map-only; a task holds one slice of pages.

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -79,6 +80,40 @@ def test_leaf_blocks_of_broken_pages():
     assert leaf_blocks("<div>" * 5000 + "deep")[0].text == "deep"
 
 
+def test_deep_pages_take_linear_time():
+    deep = 100_000
+    for page in ("<div class=post>x" * deep, "<ul><li><ul>" + "<div>" * deep + "<li>y</li>" * deep, "<p>" + "<b>" * deep + "x<i>y</i>" * deep,
+                 "".join(f"<x{i}>t" for i in range(deep)), "<b>" * deep + "<p>z</p>" * deep, "<table>" + "<tr><td>q" * deep):
+        start = time.process_time()
+        blocks = leaf_blocks(page)
+        assert all(features(b) for b in blocks) and blocks
+        assert time.process_time() - start < 40
+
+
+def test_text_of_formulas_and_fallbacks_stays():
+    page = "<p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is <audio src=x>a sound</audio> known.</p><object><p>inside</p></object>"
+    assert [b.text for b in leaf_blocks(page)] == ["Energy E=m is a sound known.", "inside"]
+
+
+BY_HAND = [
+    ("""<html><head><title>T</title></head><body><div id="nav"><ul><li><a href=/>Home</a><li><a href=/b>About us</a></ul></div>
+        <div class="post-content"><h1>How rivers bend</h1><p>A river that meets soft ground cuts its outer bank and leaves sand on the inner one, so the bend grows with every flood.</p>
+        <p>After some hundred years the neck between two bends is cut through, &amp; a lake is left behind.</p></div>
+        <div class="comments"><p>Anna: nice read, thank you so much for this!</p></div><div class="footer">© 2020 All rights reserved</div></body></html>""",
+     ["How rivers bend", "A river that meets", "After some hundred"], ["Home", "About us", "Anna", "rights"]),
+    ("""<body><header><a href="/">The Daily</a></header><main><article><h2>Bread prices</h2><p>Bakers in the valley raised their prices for the third time this year, as flour became scarce.
+        <p>One of them said that <a href=x>no end</a> was in sight.</article></main><aside class=sidebar><h3>Most read</h3><a href=1>Ten ways to sleep well</a></aside>
+        <footer><p>Contact | Imprint</p></footer>""",
+     ["Bakers in the valley", "no end was in sight"], ["Ten ways", "Imprint"]),
+]
+
+
+@pytest.mark.parametrize("page, inside, outside", BY_HAND)
+def test_pages_written_by_hand(page, inside, outside):
+    text = main_text(page, train())
+    assert all(t in text for t in inside) and not any(t in text for t in outside)
+
+
 @pytest.mark.parametrize("tag", ["script", "style", "noscript", "title"])
 def test_raw_elements_end_in_any_case_beside_letters_that_fold_longer(tag):
     page = f"<p>\u0130stanbul</p><{tag}>a < b \u0130</{tag.upper()}><p>article</p><{tag}>c</{tag.title()}><p>end</p>"
