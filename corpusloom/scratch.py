@@ -51,12 +51,12 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a parquet table in the shared folder and read it back.
+def settle(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` to a parquet table in the shared folder (at ``path``, from ``scratch_path``) and read it back.
 
     Cuts lineage like a reliable checkpoint, and unlike one keeps column pruning, pushed
     filters and size statistics for whatever reads it next.
     """
-    path = scratch_path(df.sparkSession, "settled")
+    path = path or scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
