@@ -14,7 +14,6 @@ from corpusloom.operators.selection import global_cap, per_repo_quota
 from corpusloom.scratch import settle
 from corpusloom.sources.trees import commit_files
 
-_MAX_BROADCAST = 100_000
 # The columns of method rows.
 METHOD_COLUMNS = (
     "dataset_split", "repo_name", "repo_url", "commit_sha", "file_path", "method_name", "start_line",
@@ -57,8 +56,6 @@ def mine_java_methods(
     rows = method_rows(files, split)
     within_quota = settle(per_repo_quota(rows.select("repo_name", *order), limit // 4))
     kept = global_cap(within_quota, limit, order)
-    keys = kept.select(*order)
-    if limit <= _MAX_BROADCAST:
-        keys = F.broadcast(keys)
+    keys = settle(kept.select(*order))  # written, so Spark knows whether it is small enough to broadcast
     chosen = method_rows(files.join(keys, order[:-1], "left_semi"), split).join(keys, order, "left_semi")
     return chosen.withColumn("code_tokens", F.array_join(tokenize_java(F.col("code")), ", ")).select(*METHOD_COLUMNS)
