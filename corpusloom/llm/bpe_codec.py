@@ -16,16 +16,16 @@ from corpusloom.llm.arrow_rows import slices
 from corpusloom.llm.columns import quoted
 from corpusloom.llm.rank_queue import RankTable
 
-REMEMBERED = 400_000  # entries of a generation of a memo; bounds memory, decides nothing
+REMEMBERED = 400_000  # entries of a generation of a memo, some 200 bytes each; bounds memory, decides nothing
 LONGEST_KEY = 64
 
 
 class Memo(dict):
-    """Results of ``solve`` by text, kept for two generations of ``REMEMBERED`` entries."""
+    """Results of ``solve`` by text, kept for two generations of ``remembered`` entries."""
 
-    def __init__(self, solve):
+    def __init__(self, solve, remembered: int):
         super().__init__()
-        self.solve, self.old = solve, {}
+        self.solve, self.remembered, self.old = solve, remembered, {}
 
     def __missing__(self, key):
         found = self.old.get(key)
@@ -33,7 +33,7 @@ class Memo(dict):
             found = self.solve(key)
             if len(key) > LONGEST_KEY:  # rare, and large
                 return found
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.remembered:
             self.old = dict(self)
             self.clear()
         self[key] = found
@@ -43,7 +43,7 @@ class Memo(dict):
 class Codec:
     """Encoder and decoder of one task: a rank table, a pre-token pattern and the task's memos."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         import regex
 
         with open(path, "rb") as lines:
@@ -51,8 +51,8 @@ class Codec:
             self.table = RankTable({base64.b64decode(p[0]): int(p[1]) for p in pairs if p})
         self.find = regex.compile(pattern).findall
         self.gap = regex.compile(r"\s ").search
-        self.piece = Memo(lambda piece: array("i", self.table.encode(piece.encode())).tobytes())
-        self.chunk = Memo(lambda chunk: self._pieces(" " + chunk))
+        self.piece = Memo(lambda piece: array("i", self.table.encode(piece.encode())).tobytes(), remembered)
+        self.chunk = Memo(lambda chunk: self._pieces(" " + chunk), remembered)
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self.piece.__getitem__, self.find(text)))
@@ -74,20 +74,20 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, remembered: int = REMEMBERED) -> Codec:
     """One per Python worker, so that its memos outlive a task."""
-    return Codec(path, pattern)
+    return Codec(path, pattern, remembered)
 
 
 def encode_decode(df: DataFrame, path: str, pattern: str, *, text_col: str = "text", carry: Sequence[str] = (),
-                  decoded: bool = True) -> DataFrame:
+                  decoded: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """The columns ``carry``, ``ids`` (array of int) and, if asked for, ``decoded`` (the bytes those ids stand for).
 
     ``path`` names a rank file on every machine (as the tokenizer package installs it), ``pattern``
     the expression whose matches are encoded one by one. Special tokens are not known: their strings
     are ordinary text. Null counts as the empty text, which has no ids. Equal rows have equal results; an
     empty table gives no rows.
-    Map-only: every row stands for itself, and a task holds one slice of rows and bounded memos.
+    Map-only: every row stands for itself, and a task holds one slice of rows and memos of four times ``remembered`` words.
     """
     rows = df.select(*[F.col(quoted(c)) for c in carry], F.col(quoted(text_col)).cast("string").alias("__text"))
     fields = rows.schema.fields[:-1] + [T.StructField("ids", T.ArrayType(T.IntegerType(), False))]
@@ -95,7 +95,7 @@ def encode_decode(df: DataFrame, path: str, pattern: str, *, text_col: str = "te
     names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
+        own = codec(path, pattern, remembered)
         for batch in slices(batches):
             ids, ends, raw = [], [0], []
             for text in batch.column(batch.num_columns - 1):
