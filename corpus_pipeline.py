@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.arrow_rows import small_batches
+from corpusloom.llm.arrow_rows import SLICE_ROWS, small_batches
 from corpusloom.llm.block_naming import exact_duplicates
 from corpusloom.llm.bpe_codec import encode_decode
 from corpusloom.llm.mixing import mix_sources
@@ -22,6 +22,7 @@ from corpusloom.scratch import settle
 
 MAIN_SHARE = 0.4  # of a document's main language
 REPEATS = 2.0  # most passes over a source
+REMEMBERED = 50_000  # words of a memo of the encoder, whose workers also hold what earlier stages left
 
 
 def _apart(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, str]]:
@@ -81,11 +82,11 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, lang, n_tokens, ids`` and ``restored``, whether the ids decode to the text again."""
     rows, names, known = _apart(docs)
     carry = [known["doc_id"], known["source"], known["lang"], known["text"]]
-    coded = encode_decode(rows, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, text_col=known["text"], carry=carry)
+    coded = encode_decode(rows, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, text_col=known["text"], carry=carry, remembered=REMEMBERED)
     coded = coded.select(
         F.col(carry[0]).alias("doc_id"), F.col(carry[1]).alias("source"), F.col(carry[2]).alias("lang"), F.size("ids").cast("long").alias("n_tokens"),
         "ids", (F.col("decoded") == F.coalesce(F.col(carry[3]), F.lit("")).cast("binary")).alias("restored"))
-    with small_batches(spark):  # texts go to Python twice, to be encoded and to be compared
+    with small_batches(spark, SLICE_ROWS):  # texts go to Python twice, to be encoded and to be compared
         return settle(coded)
 
 
