@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.functions.sliced import by_slices
 from corpusloom.functions.text import WHITESPACE, is_blank, line_count
 from corpusloom.operators.skew import keep_members
 
@@ -106,8 +107,8 @@ METHODS = "array<struct<seq:int,name:string,line:int,return_type:string,params:a
 def java_methods(source: Column) -> Column:
     """Methods declared in a source, in text order; types are simple names without arguments."""
 
-    @F.pandas_udf(METHODS)
-    def methods(batch: pd.Series) -> pd.Series:
+    @F.arrow_udf(METHODS)
+    def methods(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import re
 
         # Words that can stand before a call or a constructor but are no type.
@@ -160,7 +161,12 @@ def java_methods(source: Column) -> Column:
                 })
             return found
 
-        return batch.map(of)
+        text, number = pa.string(), pa.int32()
+        kind = pa.list_(pa.struct([
+            ("seq", number), ("name", text), ("line", number), ("return_type", text),
+            ("params", pa.list_(pa.struct([("type", text), ("name", text)]))),
+        ]))
+        yield from by_slices(batches, of, kind)
 
     return methods(source)
 

@@ -9,9 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.functions.sliced import by_slices, record_slices
+
 # The columns of function rows.
 FUNCTION_SCHEMA = (
     "repo string, file string, function_name string, num_lines int, num_if int, ifs string, source string"
@@ -40,9 +42,9 @@ class Segments:
 def decode_utf8_ignore(content: Column) -> Column:
     """Text of UTF-8 bytes without the bytes that do not decode."""
 
-    @F.pandas_udf("string")
-    def decode(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+    @F.arrow_udf("string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from by_slices(batches, lambda b: None if b is None else b.decode("utf-8", "ignore"), pa.string())
 
     return decode(content)
 
@@ -50,8 +52,8 @@ def decode_utf8_ignore(content: Column) -> Column:
 def if_conditions(code: Column) -> Column:
     """Texts of the tests of all ``if``/``elif`` in a source, breadth-first; [] if it does not parse."""
 
-    @F.pandas_udf("array<string>")
-    def conditions(batch: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def conditions(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import ast
         import warnings
 
@@ -66,7 +68,7 @@ def if_conditions(code: Column) -> Column:
             tests = (segments.of(n.test) for n in ast.walk(tree) if isinstance(n, ast.If))
             return [t.strip() for t in tests if t and t.strip()]
 
-        return batch.map(of)
+        yield from by_slices(batches, of, pa.list_(pa.string()))
 
     return conditions(code)
 
@@ -77,16 +79,18 @@ def extract_python_functions(files: DataFrame, split_type: str = "pretrain", min
     ``split_type='finetune'`` keeps only functions with an ``if``.
     """
 
-    def functions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def functions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ast
         import warnings
 
-        import pandas as pd
-
-        names = ["repo", "file", "function_name", "num_lines", "num_if", "ifs", "source"]
-        for batch in batches:
+        text_type, count = pa.string(), pa.int32()
+        schema = pa.schema([
+            ("repo", text_type), ("file", text_type), ("function_name", text_type), ("num_lines", count), ("num_if", count),
+            ("ifs", text_type), ("source", text_type),
+        ])
+        for batch in record_slices(batches):
             rows = []
-            for repo, file, text in zip(batch["repo"], batch["file"], batch["text"]):
+            for repo, file, text in zip(*[column.to_pylist() for column in batch.columns]):
                 try:
                     with warnings.catch_warnings():
                         warnings.simplefilter("ignore")
@@ -106,9 +110,9 @@ def extract_python_functions(files: DataFrame, split_type: str = "pretrain", min
                         repo, file, node.name, segment.count("\n") + 1, len(ifs),
                         "; ".join(t.strip() for t in tests if t), segment.strip(),
                     ))
-            yield pd.DataFrame(rows, columns=names)
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
 
-    found = files.select("repo", "file", "text").mapInPandas(functions, FUNCTION_SCHEMA)
+    found = files.select(*[F.col(c).cast("string") for c in ("repo", "file", "text")]).mapInArrow(functions, FUNCTION_SCHEMA)
     return has_if_filter(min_lines_filter(found, min_lines), split_type)
 
 
