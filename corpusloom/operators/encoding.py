@@ -6,12 +6,14 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.functions.sliced import by_slices
 from corpusloom.operators.bpe import SPECIAL_TOKENS, Tokenizer, byte_alphabet, pretokenize, symbols_to_text
 
 PAD, BOS, EOS, UNK = SPECIAL_TOKENS[:4]
+_REMEMBERED = 50_000  # words of a task
 
 
 def merge_word(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
@@ -48,7 +50,8 @@ def encode_bpe(
 
     A map-only job: splitting into words stays in the JVM, merges travel to the executors once
     (their number is bounded by the vocabulary size), and each task remembers the words it has
-    encoded. Nothing is shuffled, so frequent words cannot skew anything. Special tokens in a
+    encoded. Nothing is shuffled, so frequent words cannot skew anything. A task holds the words of one slice of
+    a batch and at most 50,000 remembered ones, whatever the size of its input. Special tokens in a
     text stay whole.
     """
     ids = {r["token"]: r["id"] for r in tokenizer.vocab.collect()}
@@ -56,8 +59,8 @@ def encode_bpe(
     known = [t for t in special_tokens if t in ids]
     shared = df.sparkSession.sparkContext.broadcast((ids, ranks, set(known), byte_alphabet()))
 
-    @F.pandas_udf("array<int>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, ranks, special, alphabet = shared.value
         unknown = ids.get("<unk>")
         seen = {}  # of the task
@@ -74,14 +77,13 @@ def encode_bpe(
             out = []
             for w in words:
                 if w not in seen:
-                    if len(seen) > 500_000:
+                    if len(seen) >= _REMEMBERED:
                         seen.clear()
                     seen[w] = word_ids(w)
                 out.extend(seen[w])
             return out
 
-        for batch in batches:
-            yield batch.map(of)
+        yield from by_slices(batches, of, pa.list_(pa.int32()))
 
     return df.withColumns({name: encode(_pieces(F.col(text), known)) for text, name in columns.items()})
 
@@ -91,7 +93,9 @@ def _pieces(text: Column, special: list[str]) -> Column:
     if not special:
         return pretokenize(text)
     any_special = "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True))
-    runs = F.array_remove(F.split(text, f"(?={any_special})|(?<={any_special})"), "")
+    # Looking at one character first: every special token would be tried in front of and behind each character of the text.
+    first, last = ("".join(sorted({re.escape(t[at]) for t in special})) for at in (0, -1))
+    runs = F.array_remove(F.split(text, f"(?=[{first}])(?={any_special})|(?<=[{last}])(?<={any_special})"), "")
     words = lambda run: F.when(run.isin(special), F.array(run)).otherwise(pretokenize(run))
     return F.flatten(F.transform(runs, words))
 
@@ -103,10 +107,10 @@ def decode_ids(df: DataFrame, tokenizer: Tokenizer, ids: str, name: str) -> Data
     visible = [None if t in SPECIAL_TOKENS else t for t in by_id]
     table = df.sparkSession.sparkContext.broadcast(visible)
 
-    @F.pandas_udf("string")
-    def joined(batch: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = table.value
-        return batch.map(lambda row: "".join(tokens[i] or "" for i in row))
+        yield from by_slices(batches, lambda row: None if row is None else "".join(tokens[i] or "" for i in row), pa.string())
 
     return df.withColumn(name, symbols_to_text(joined(F.col(ids))))
 
