@@ -1,0 +1,12 @@
+from corpusloom.operators.ngram_counts import context_counts, pair_counts, window_context_counts
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_contexts_are_counted_without_pairs(spark):
+    seqs = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, ["a"]), (3, [])], "seq_id bigint, tokens array<string>")
+    direct = window_context_counts(seqs, 2)
+    assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, context_counts(pair_counts(seqs, 2)).collect()))
+    assert optimized(direct).count("Aggregate [") == 1 and optimized(context_counts(pair_counts(seqs, 2))).count("Aggregate [") == 2
