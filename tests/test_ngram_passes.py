@@ -1,3 +1,4 @@
+from corpusloom.catalog import all_queries
 from corpusloom.operators.ngram_counts import context_counts, pair_counts, window_context_counts
 
 
@@ -10,3 +11,12 @@ def test_contexts_are_counted_without_pairs(spark):
     direct = window_context_counts(seqs, 2)
     assert sorted(map(tuple, direct.collect())) == sorted(map(tuple, context_counts(pair_counts(seqs, 2)).collect()))
     assert optimized(direct).count("Aggregate [") == 1 and optimized(context_counts(pair_counts(seqs, 2))).count("Aggregate [") == 2
+
+
+def test_continued_training_is_counted_in_one_pass(spark, tmp_path):
+    spark.createDataFrame([(1, "a b a b"), (2, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, "a b")], "conv_id bigint, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    counted = all_queries()["continue_training"](spark, str(tmp_path))
+    assert "scalar-subquery" not in optimized(counted)
+    # Contexts: BOS BOS (2), BOS a (2), a b (followed by a, end, end), b a.
+    assert [tuple(r) for r in counted.collect()] == [(4, 8, 5, 2, 4)]
