@@ -1,5 +1,6 @@
 from corpusloom.catalog import all_queries
-from corpusloom.operators.ngram_counts import context_counts, pair_counts, window_context_counts
+from corpusloom.operators.ngram_counts import context_counts, pair_counts, train, window_context_counts
+from corpusloom.operators.ngram_predict import sparse_distribution
 
 
 def optimized(df):
@@ -20,3 +21,13 @@ def test_continued_training_is_counted_in_one_pass(spark, tmp_path):
     assert "scalar-subquery" not in optimized(counted)
     # Contexts: BOS BOS (2), BOS a (2), a b (followed by a, end, end), b a.
     assert [tuple(r) for r in counted.collect()] == [(4, 8, 5, 2, 4)]
+
+
+def test_pairs_are_counted_once_for_requests_of_one_context(spark):
+    seqs = spark.createDataFrame([(1, ["a", "b", "a", "c"])], "seq_id bigint, tokens array<string>")
+    asked = spark.createDataFrame([(1, ["a"]), (2, ["a"]), (3, ["z"]), (None, ["a"])], "ctx_id bigint, ctx array<string>")
+    found = sparse_distribution(train(seqs, 2, 0.1).settled(), asked)
+    assert optimized(found).count("Join ") == 2
+    rest = {r["ctx_id"]: r["n_tokens"] for r in found.filter("token is null").collect()}
+    assert rest == {1: 3, 2: 3, 3: 5, None: 5}
+    assert found.filter("token is not null").count() == 6
