@@ -1,6 +1,6 @@
 from corpusloom.catalog import all_queries
-from corpusloom.operators.ngram_counts import context_counts, pair_counts, train, window_context_counts
-from corpusloom.operators.ngram_predict import sparse_distribution
+from corpusloom.operators.ngram_counts import context_counts, pair_counts, train, train_for, window_context_counts
+from corpusloom.operators.ngram_predict import keyed_requests, sample_next, sparse_distribution, topk_next
 
 
 def optimized(df):
@@ -31,3 +31,13 @@ def test_pairs_are_counted_once_for_requests_of_one_context(spark):
     rest = {r["ctx_id"]: r["n_tokens"] for r in found.filter("token is null").collect()}
     assert rest == {1: 3, 2: 3, 3: 5, None: 5}
     assert found.filter("token is not null").count() == 6
+
+
+def test_only_the_windows_of_wanted_contexts_are_counted(spark):
+    seqs = spark.createDataFrame([(i, [f"w{i}", f"v{i}", "x", f"u{i}"]) for i in range(300)], "seq_id bigint, tokens array<string>")
+    asked = spark.createDataFrame([(1, ["w1", "v1"]), (2, ["w2", "v2"]), (3, ["v2", "x"]), (4, []), (5, ["no", "no"]), (None, None)], "ctx_id bigint, ctx array<string>")
+    whole, cut = train(seqs, 3, 0.1).settled(), train_for(seqs, 3, 0.1, keyed_requests(asked, 3))
+    assert whole.contexts.count() == 1201 and cut.contexts.count() < 60  # BOS BOS is one context
+    assert cut.vocab.count() == whole.vocab.count()
+    for made in (topk_next, sample_next, sparse_distribution):
+        assert sorted(map(str, made(cut, asked).collect())) == sorted(map(str, made(whole, asked).collect()))
