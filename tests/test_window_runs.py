@@ -1,0 +1,56 @@
+"""Counts of windows out of one shuffle, against plain Python."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from corpusloom.operators import window_runs
+from corpusloom.operators.ngram_counts import BOS, EOS
+
+_rng = random.Random(3)
+WORDS = ["a", "b", "c", "d e", "\x01", "\x02", "\x02\x03", "x\x01y", "", BOS, EOS]
+SEQS = [[_rng.choice(WORDS) for _ in range(_rng.randrange(1, 30))] for _ in range(60)] + [["a", "b", "c", "a", "b"]] * 40
+
+
+@pytest.fixture
+def crowded(monkeypatch):
+    """Nearly every window counts as crowded, and texts are cut every three tokens."""
+    for name, value in (("_SAMPLE", 1.0), ("_HOT_SHARE", 0.004), ("_HOT_LEAST", 2), ("_CHUNK", 3)):
+        monkeypatch.setattr(window_runs, name, value)
+
+
+def frame(spark, seqs):
+    return spark.createDataFrame([(s,) for s in seqs], "tokens array<string>").repartition(3)
+
+
+def expected(length):
+    pairs, contexts, n = set(), set(), 0
+    for s in SEQS:
+        line = [BOS] * length + s + [EOS]
+        windows = [tuple(line[i : i + length]) for i in range(len(line) - length + 1)]
+        pairs.update(windows[1:])
+        contexts.update(windows[:-1])
+        n += len(windows) - 1
+    return len(pairs), len(contexts), n
+
+
+def counted(spark):
+    rows = window_runs.distinct_windows(frame(spark, SEQS), [1, 2, 3, 4, 7]).collect()
+    return {r.length: (r.n_pairs, r.n_contexts, r.n_windows) for r in rows}
+
+
+def test_distinct_windows(spark):
+    got = counted(spark)
+    assert [got[n][:2] for n in (1, 2, 3, 4, 7)] == [expected(n)[:2] for n in (1, 2, 3, 4, 7)]
+    assert {got[n][2] for n in got} == {expected(1)[2]}
+
+
+def test_distinct_windows_when_many_are_crowded(spark, crowded):
+    assert window_runs.crowded_windows(frame(spark, SEQS), 7).agg(F.max("depth")).first()[0] == 6
+    assert counted(spark) == {n: expected(n) for n in (1, 2, 3, 4, 7)}
+
+
+def test_a_position_is_shuffled_once_for_all_lengths(spark):
+    plan = window_runs.distinct_windows(frame(spark, SEQS), [2, 3, 4, 7])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1
