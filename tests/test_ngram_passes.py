@@ -1,5 +1,5 @@
 from corpusloom.catalog import all_queries
-from corpusloom.operators.ngram_counts import context_counts, pair_counts, train, train_for, window_context_counts
+from corpusloom.operators.ngram_counts import context_counts, keyed_windows, ngram_windows, pair_counts, train, train_for, window_context_counts
 from corpusloom.operators.ngram_predict import keyed_requests, sample_next, sparse_distribution, topk_next
 
 
@@ -41,3 +41,17 @@ def test_only_the_windows_of_wanted_contexts_are_counted(spark):
     assert cut.vocab.count() == whole.vocab.count()
     for made in (topk_next, sample_next, sparse_distribution):
         assert sorted(map(str, made(cut, asked).collect())) == sorted(map(str, made(whole, asked).collect()))
+
+
+def test_windows_are_made_on_rows_not_inside_arrays(spark):
+    """Lambdas over a text's places are interpreted; rows are compiled."""
+    seqs = spark.createDataFrame([(1, ["a", "b", "a", "b"]), (2, ["a"]), (3, []), (4, None), (5, [None, "a"])], "seq_id bigint, tokens array<string>")
+    for made in (pair_counts(seqs, 3), window_context_counts(seqs, 3)):
+        assert "lambda" not in optimized(made)
+    assert "namedlambdavariable" not in optimized(keyed_windows(seqs, [2])).split("Generate explode(sequence(0")[0]
+    # Windows of many tokens are arrays; both ways count the same.
+    for n in (2, 3, 8, 9):
+        windows = ngram_windows(seqs, n)
+        by = lambda df, *keys: sorted(map(str, df.groupBy(*keys).count().collect()))
+        assert by(windows, "n", "ctx", "next") == sorted(map(str, pair_counts(seqs, n).withColumnRenamed("c", "count").collect()))
+        assert by(windows, "n", "ctx") == sorted(map(str, window_context_counts(seqs, n).withColumnRenamed("c", "count").collect()))
