@@ -13,9 +13,11 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.functions.binding import bind
 from corpusloom.scratch import settle
 
 # Fixed values.
@@ -32,6 +34,7 @@ _MAX_SYMBOLS = 0x20000
 _HOT_PAIRS = 16_384  # best pairs of a round, at first
 _MAX_PIECES = 200_000  # distinct pieces that the driver gets in a round; more halve the pairs
 _PIECE_SYMBOLS = 4_000_000  # and symbols in them
+_FEW_MERGES = 400  # up to which a batch of words is merged one pair after the other
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -105,44 +108,64 @@ def adjacent_pairs(words: DataFrame, symbols: str = "symbols", weight: str = "c"
     return starts.select(F.substring(F.col(symbols), F.col("i"), F.lit(2)).alias("pair"), weight).groupBy("pair").agg(F.sum(weight).alias("c"))
 
 
-def hot_pieces(words: DataFrame, hot: Sequence[str]) -> DataFrame:
+def hot_pieces(words: DataFrame, hot: Sequence[str], symbols: str = "symbols") -> DataFrame:
     """``(piece, c)``: the distinct longest runs of symbols whose adjacent pairs are all ``hot``."""
-    shared = words.sparkSession.sparkContext.broadcast(frozenset(hot))
-
-    @F.pandas_udf("array<string>")
-    def pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hot = shared.value
-
-        def of(word: str) -> list[str]:
-            out, start = [], 0
-            for i in range(1, len(word)):
-                if word[i - 1:i + 1] not in hot:
-                    if i - start > 1:
-                        out.append(word[start:i])
-                    start = i
-            if len(word) - start > 1:
-                out.append(word[start:])
-            return out
+    codes = np.array([ord(a) << 21 | ord(b) for a, b in hot], dtype=np.int64)
+    shared = words.sparkSession.sparkContext.broadcast(np.sort(codes))
 
+    @F.pandas_udf("string")
+    def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            yield batch.map(of)
+            yield _cut(batch, shared.value)
+
+    pieces = words.select(F.explode(F.split(cut(symbols), " ")).alias("piece"), "c").filter(F.length("piece") > 1)
+    return pieces.groupBy("piece").agg(F.sum("c").alias("c"))
 
-    return words.select(F.explode(pieces("symbols")).alias("piece"), "c").groupBy("piece").agg(F.sum("c").alias("c"))
+
+def _cut(words: pd.Series, hot: np.ndarray) -> pd.Series:
+    """The words, which hold neither, with a space between the symbols of a pair that is not ``hot``: one array, parted by line feeds."""
+    if words.empty:
+        return words
+    codes = np.frombuffer("\n".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    left, right = codes[:-1], codes[1:]
+    pairs = left << 21 | right
+    found = hot[np.minimum(np.searchsorted(hot, pairs), len(hot) - 1)] == pairs
+    cold = ~found & (left != ord("\n")) & (right != ord("\n"))
+    cut = np.insert(codes, np.flatnonzero(cold) + 1, ord(" "))
+    return pd.Series(cut.astype("<u4").tobytes().decode("utf-32-le").split("\n"))
 
 
 def with_merges(words: DataFrame, merges: dict[str, str]) -> DataFrame:
-    """``words`` with the pairs ``merges`` (in order, each to one symbol) merged, left to right."""
+    """``words`` with the pairs ``merges`` (in order, each to one new symbol) merged, left to right."""
     shared = words.sparkSession.sparkContext.broadcast({pair: (rank, made) for rank, (pair, made) in enumerate(merges.items())})
 
     @F.pandas_udf("string")
     def merged(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         made = shared.value
+        one_by_one = len(made) <= _FEW_MERGES
         for batch in batches:
-            yield batch.map(lambda word: _merged(word, made))
+            yield _replaced(batch, made) if one_by_one else batch.map(lambda word: _merged(word, made))
 
     return words.select(merged("symbols").alias("symbols"), "c")
 
 
+def merge_round(words: DataFrame, made: dict[str, str]) -> DataFrame:
+    """The words of more than one symbol after a round's merges; the last may make a symbol that earlier ones have, so it comes by itself."""
+    *fresh, (pair, symbol) = made.items()
+    merged = with_merges(words, dict(fresh)).select("c", F.replace("symbols", F.lit(pair), F.lit(symbol)).alias("merged"))
+    return bind(merged, "symbols", F.col("merged"), lambda word: F.length(word) > 1).select("symbols", "c")
+
+
+def _replaced(words: pd.Series, merges: dict[str, tuple[int, str]]) -> pd.Series:
+    """What ``_merged`` gives for each word, for few merges: one after the other, in all words at once."""
+    if words.empty:
+        return words
+    text = "\n".join(words)
+    for pair, (_, made) in merges.items():
+        text = text.replace(pair, made)
+    return pd.Series(text.split("\n"))
+
+
 def _merged(word: str, merges: dict[str, tuple[int, str]]) -> str:
     """Pairs of the lowest rank first and of these the leftmost, over a linked list of symbols and a heap of pairs."""
     heap = [(*merges[pair], i) for i in range(len(word) - 1) if (pair := word[i:i + 2]) in merges]
@@ -247,8 +270,11 @@ def train_bpe(
         best = [b for b in best if b[0] >= max(1, min_frequency)]
         if not best:
             break
+        pieces = None
         while True:  # one pair alone leaves runs of two symbols, of few lengths
-            pieces = settle(hot_pieces(words, [pair for _, pair in best]))
+            hot = [pair for _, pair in best]
+            # Fewer pairs cut the pieces that more of them left, which are fewer and shorter than the words.
+            pieces = settle(hot_pieces(words, hot) if pieces is None else hot_pieces(pieces, hot, "piece"))
             n, symbols = pieces.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("piece")), F.lit(0))).first()
             if len(best) == 1 or n <= _MAX_PIECES and symbols <= _PIECE_SYMBOLS:
                 break
@@ -260,9 +286,7 @@ def train_bpe(
             left, right = (names[ord(ch) - _FIRST_SYMBOL] for ch in pair)
             merges.append((len(merges), left, right))
             made[pair] = _symbol(ids[left + right])
-        *fresh, (pair, symbol) = made.items()  # the last may make a symbol that earlier ones have, so it comes by itself
-        merged = with_merges(words, dict(fresh)).select(F.replace("symbols", F.lit(pair), F.lit(symbol)).alias("symbols"), "c")
-        words = settle(merged.filter(F.length("symbols") > 1))
+        words = settle(merge_round(words, made))
         n_hot = min(_HOT_PAIRS, 2 * n_hot)
     vocab = spark.createDataFrame(list(ids.items()), "token string, id int")
     return Tokenizer(vocab, spark.createDataFrame(merges, "rank int, left string, right string"))

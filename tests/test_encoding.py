@@ -93,6 +93,41 @@ def test_merging_words_is_replacing_in_order():
         assert bpe._merged(word, {p: (r, m) for r, (p, m) in enumerate(merges.items())}) == expected
 
 
+def test_a_round_merges_each_word_once(spark):
+    word = lambda t: "".join(bpe._symbol("abcdefg".index(x)) for x in t)
+    words = spark.createDataFrame([(word("abcab"), 3), (word("ab"), 2), (word("ccab"), 1)], "symbols string, c bigint")
+    merged = bpe.merge_round(words, {word("ab"): word("d"), word("cd"): word("e")})
+    assert sorted(merged.collect()) == sorted([(word("de"), 3), (word("ce"), 1)])
+    assert merged._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_pieces(spark, monkeypatch):
+    import random
+
+    draw = random.Random(5)
+    texts = ["".join(bpe._symbol(draw.randrange(6)) for _ in range(draw.randint(2, 12))) for _ in range(300)] * 2
+    words = spark.createDataFrame([(t, i + 1) for i, t in enumerate(texts)], "symbols string, c bigint")
+    pairs = sorted({t[i:i + 2] for t in texts for i in range(len(t) - 1)})
+    few = pairs[::4]
+
+    def expected(hot):
+        counts = {}
+        for c, t in enumerate(texts, 1):
+            cut = t[0] + "".join(("" if t[i - 1:i + 1] in hot else " ") + t[i] for i in range(1, len(t)))
+            for piece in cut.split(" "):
+                if len(piece) > 1:
+                    counts[piece] = counts.get(piece, 0) + c
+        return counts
+
+    for hot in (few, pairs[::2], pairs):
+        assert dict(bpe.hot_pieces(words, hot).collect()) == expected(set(hot))
+    assert dict(bpe.hot_pieces(bpe.hot_pieces(words, pairs[::2]), few, "piece").collect()) == expected(set(few))
+    merges = {few[0]: bpe._symbol(6), pairs[1]: bpe._symbol(7)}
+    one_by_one = sorted(bpe.with_merges(words, merges).collect())
+    monkeypatch.setattr(bpe, "_FEW_MERGES", 0)
+    assert sorted(bpe.with_merges(words, merges).collect()) == one_by_one
+
+
 def test_pretokens(spark):
     tokenizers = pytest.importorskip("tokenizers")
     split = tokenizers.pre_tokenizers.ByteLevel()
