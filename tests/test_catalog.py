@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check import TABLES, canonical
+from corpusloom.catalog import predictions
+from corpusloom.scratch import scratch_root
 
 FOLDER = "/root/testdata/sf0.001"
 QUICK = [
@@ -37,6 +39,15 @@ def test_agrees_with_sql(spark, name):
     assert len(ours) == len(theirs) and ours == theirs
 
 
+def test_records_leave_only_their_file(spark, monkeypatch):
+    """The model's and the walks' tables go once the records are written."""
+    monkeypatch.setattr(predictions, "MAX_LEN", 2)
+    before = set(os.listdir(scratch_root(spark)))
+    records = spark_entry.queries()["prediction_records"](spark, FOLDER)
+    left = set(os.listdir(scratch_root(spark))) - before
+    assert [name.split("-")[0] for name in left] == ["predictions"] and records.count() > 0
+
+
 def test_plans(spark):
     """What the plans must show: narrow scans, pruned ranks, and range filters in the scan."""
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
